@@ -169,7 +169,7 @@ def profile_columns(df: DataFrame, table: str, columns: list[str] | None = None)
     number = F.when(F.col("column_name").isin(numeric), F.col("value").cast("double"))
     match = F.lit(True)
     for c, (e, _) in sorted(expressions.items()):
-        match = F.when((F.col("column_name") == c) & F.col("value").isNotNull(), F.col("value").rlike(f"(?s)^(?:{e})$")).otherwise(match)
+        match = F.when((F.col("column_name") == c) & F.col("value").isNotNull(), F.col("value").rlike(f"(?s)^(?:{e})\\z")).otherwise(match)
     facts = (
         values.withColumn("x", number)
         .withColumn("ok", match)
@@ -308,7 +308,7 @@ def compare_loads(profiles: DataFrame, follows: DataFrame) -> DataFrame:
 
 def expression_coverage(counted: DataFrame, expression: str) -> DataFrame:
     """Per load the share of non-null values that conform to the expression (load, coverage)."""
-    ok = F.col("value").cast("string").rlike(f"(?s)^(?:{expression})$")
+    ok = F.col("value").cast("string").rlike(f"(?s)^(?:{expression})\\z")
     return counted.where("value is not null").groupBy("load").agg((F.sum(F.when(ok, F.col("n")).otherwise(0)) / F.sum("n")).alias("coverage"))
 
 
@@ -317,7 +317,7 @@ def induce_under_rule(df: DataFrame, column: str, rule: str) -> str:
     no alternative. The rule itself is the expression where no alternative pays for itself (few or no values)."""
     values = distinct_values(df, [column]).where(F.col("value").isNotNull() & F.col("value").rlike(rule))
     expression = induce_expressions(values).get(column, (".*", 0))[0]
-    return rule if expression == ".*" else f"(?s)^(?:{expression})$"
+    return rule if expression == ".*" else f"(?s)^(?:{expression})\\z"
 
 
 def row_checks(df: DataFrame, table: str, column: str, id_column: str, rule: str | None = None, low: float | None = None, high: float | None = None) -> DataFrame:
@@ -340,7 +340,7 @@ def row_checks(df: DataFrame, table: str, column: str, id_column: str, rule: str
     )
 
 
-#: Declared rule of a quarter label; \\z since $ would let a line end pass.
+#: Declared rule of a quarter label; \z since $ would let a line end pass.
 QUARTER_RULE = r"^[0-9]{4}q[1-4]\z"
 
 
