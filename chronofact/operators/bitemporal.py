@@ -35,36 +35,42 @@ LEDGER = T.StructType(
 )
 
 
-def filing_statements(reports: DataFrame, key: str, filing: str, value: str, valid: str, recorded: Column) -> DataFrame:
+#: Keys are counted by this many hash buckets; a bucket is hot from HOT_ROWS rows and HOT_TIMES the mean on.
+BUCKETS, HOT_ROWS, HOT_TIMES = 65_536, 500_000, 16
+#: Filings are broadcast to their reports up to this many (counted first), joined by shuffle beyond.
+FILINGS_BROADCAST = 1_000_000
+
+
+def filing_statements(said: DataFrame) -> DataFrame:
     """What each filing says about each key, and during which recording time it says it.
 
-    Null values say nothing. A filing speaks from the day its first value was recorded; from the day a second, different
-    value of it is recorded it says nothing. Repeated rows collapse in the map-side aggregate, so a hot (key, filing)
-    never gathers in one task; at most two rows of a filing pass the second shuffle (window group limit).
+    said: key, filing, valid, value, rec (days) without nulls. A filing speaks from the day its first value was recorded;
+    from the day a second, different value of it is recorded it says nothing. Repeated rows collapse in the aggregate;
+    at most two rows of a filing enter the window's sort (window group limit). Of several valid days the first counts.
     Columns: key, filing, valid, value, r_from, r_to (days).
     """
-    said = (
-        reports.where(F.col(value).isNotNull() & F.col(key).isNotNull() & F.col(valid).isNotNull() & recorded.isNotNull())
-        .select(F.col(key).alias("key"), F.col(filing).alias("filing"), F.col(valid).alias("valid"), (F.col(value) + F.lit(0.0)).alias("value"), F.unix_date(recorded).alias("rec"))
-        .groupBy("key", "filing", "value")
-        .agg(F.min("rec").alias("rec"), F.min("valid").alias("valid"))  # a filing has one day; of several the first counts
-    )
+    values = said.groupBy("key", "filing", "value").agg(F.min("rec").alias("rec"), F.min("valid").alias("valid"))
     w = Window.partitionBy("key", "filing").orderBy("rec", "value", "valid")
-    ranked = said.withColumn("other", F.row_number().over(w))
-    two = ranked.where(F.col("other") <= 2)
+    two = values.withColumn("other", F.row_number().over(w)).where(F.col("other") <= 2)
     return (
         two.groupBy("key", "filing")
-        .agg(
-            F.min(F.struct("rec", "value", "valid")).alias("a"),
-            F.max(F.struct("rec", "value", "valid")).alias("b"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(F.min(F.struct("rec", "value", "valid")).alias("a"), F.max(F.struct("rec", "value", "valid")).alias("b"), F.count(F.lit(1)).alias("n"))
         .select("key", "filing", F.col("a.valid").alias("valid"), F.col("a.value").alias("value"), F.col("a.rec").alias("r_from"), F.when(F.col("n") > 1, F.col("b.rec")).otherwise(F.lit(FOREVER)).alias("r_to"))
         .where("r_from < r_to")
     )
 
 
-def day_statements(statements: DataFrame, order: list[Column]) -> DataFrame:
+def hot_buckets(keys: DataFrame, least: int = HOT_ROWS, times: int = HOT_TIMES) -> list[int]:
+    """Hash buckets of `key` with so many rows that they may hold a hot key: a count by bucket, combined map-side.
+
+    The list has at most BUCKETS / times entries.
+    """
+    counts = keys.groupBy(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    mean = F.sum("n").over(Window.partitionBy()) / BUCKETS  # of at most BUCKETS rows
+    return [r["b"] for r in counts.withColumn("mean", mean).where((F.col("n") >= least) & (F.col("n") >= times * F.col("mean"))).select("b").collect()]
+
+
+def day_statements(statements: DataFrame, order: list[Column | str]) -> DataFrame:
     """Of statements on one day, recording interval by recording interval, the last in order: rows bounded by the calendar.
 
     After this no key has more rows than pairs of recording days per valid day, so the sweep may take a key whole.
@@ -226,13 +232,32 @@ def sweep_key(valid: np.ndarray, r_from: np.ndarray, r_to: np.ndarray, value: np
     return out
 
 
-def fact_ledger(facts: DataFrame, submissions: DataFrame) -> DataFrame:
+def fact_ledger(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Ledger of the reported facts: valid time is the filing date, recorded time the day the load arrived.
 
-    Within a day the filing accepted last speaks (nulls last of all, then the larger adsh).
+    Null values and reports without key, filing, date or loading time say nothing. Within a day the filing accepted last
+    speaks (nulls last of all, then the larger adsh).
+
+    Keys of ordinary buckets are shuffled once, by key, and all steps follow in place. Keys of hot buckets are first
+    combined by filing and by day, each with its own shuffle, so that a key with a third of all rows arrives at the sweep
+    with no more rows than the calendar allows.
     """
-    said = filing_statements(facts, "fact_key", "adsh", "value", "knowledge_date", F.to_date("loaded_at"))
+    rows = (
+        facts.select(F.col("fact_key").alias("key"), F.col("adsh").alias("filing"), F.col("knowledge_date").alias("valid"), (F.col("value") + F.lit(0.0)).alias("value"), F.unix_date(F.to_date("loaded_at")).alias("rec"))
+        .where(" and ".join(f"{c} is not null" for c in ("key", "filing", "valid", "value", "rec")))
+    )
     accepted = submissions.where(F.col("adsh").isNotNull()).groupBy(F.col("adsh").alias("filing")).agg(F.max("accepted").alias("accepted"))
-    placed = said.join(accepted, "filing", "left")
-    days = day_statements(placed, [F.col("accepted").isNull(), "accepted", "filing"])
-    return bitemporal_ledger(days).withColumnRenamed("key", "fact_key")
+    small = accepted.count() <= FILINGS_BROADCAST
+    order = [F.col("accepted").isNull(), "accepted", "filing"]
+
+    def ledger(said: DataFrame) -> DataFrame:
+        placed = filing_statements(said).join(F.broadcast(accepted) if small else accepted, "filing", "left")
+        return bitemporal_ledger(day_statements(placed, order))
+
+    hot = hot_buckets(rows.select("key"), hot_rows)
+    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS))
+    n = shuffle_partitions(facts.sparkSession)
+    out = ledger((rows.where(~bucket.isin(hot)) if hot else rows).repartition(n, "key"))
+    if hot:
+        out = out.unionByName(ledger(rows.where(bucket.isin(hot))))
+    return out.withColumnRenamed("key", "fact_key")
