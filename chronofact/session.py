@@ -66,8 +66,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to the executors' Python workers, once per session, unless they run on this machine."""
-    if spark.sparkContext.master.startswith("local[") or getattr(spark.sparkContext, "_chronofact_shipped", False):
+    """Send the package to the Python workers, once per session: they need not share the driver's import path."""
+    if getattr(spark.sparkContext, "_chronofact_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="chronofact-zip-")
