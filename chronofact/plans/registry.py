@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofact.plans import problems
+from chronofact.plans import problems, reference, reference_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def core_queries() -> dict[str, Query]:
-    return dict(problems.QUERIES)
+    return reference.QUERIES | problems.QUERIES
 
 
 def core_sql() -> dict[str, str]:
-    return dict(problems.SQL)
+    return reference_sql.SQL | problems.SQL
