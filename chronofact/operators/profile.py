@@ -20,6 +20,8 @@ from chronofact.session import cut
 #: Run classes of a shape: name, sign in the shape, expression, bits a character.
 CLASSES = (("digit", "9", r"[0-9]", math.log2(10)), ("lower", "a", r"[a-z]", math.log2(26)), ("upper", "A", r"[A-Z]", math.log2(26)), ("letter", "ä", r"[^\x00-\x7f]", math.log2(2000)))
 ANY_BITS = math.log2(96)
+#: What an alternative costs besides its runs: its ends and its place among the others.
+ALTERNATIVE_BITS = 12.0
 #: Loads are broadcast to their rows up to this many (counted first), joined by shuffle beyond.
 LOADS_BROADCAST = 200_000
 #: An expression has at most so many alternatives; a value under none of them counts as spelled out.
@@ -71,7 +73,7 @@ class Alternative:
     def bits(self) -> tuple[float, float]:
         """(bits of the model, bits of the values)."""
         per = {c[1]: c[3] for c in CLASSES}
-        model = data = 0.0
+        model, data = ALTERNATIVE_BITS, 0.0
         for i, sign in enumerate(self.collapsed):
             model += 3
             if sign not in per:
