@@ -28,13 +28,13 @@ LOADS_BROADCAST = 200_000
 MAX_ALTERNATIVES = 24
 
 
+_ASCII = {"A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "a": "abcdefghijklmnopqrstuvwxyz", "9": "0123456789"}
+
+
 def shape(value: Column) -> Column:
     """Shape with one sign per character: 9, a, A, ä or the literal sign."""
-    v = F.regexp_replace(value, r"[^\x00-\x7f]", "ä")
-    v = F.regexp_replace(v, r"[A-Z]", "\x01")
-    v = F.regexp_replace(v, r"[a-z]", "a")
-    v = F.regexp_replace(v, r"[0-9]", "9")
-    return F.translate(v, "\x01", "A")
+    plain = F.when(value.rlike(r"[^\x00-\x7f]"), F.regexp_replace(value, r"[^\x00-\x7f]", "ä")).otherwise(value)
+    return F.translate(plain, "".join(_ASCII.values()), "".join(k * len(v) for k, v in _ASCII.items()))
 
 
 def runs(s: Column) -> Column:
@@ -106,24 +106,29 @@ def induce(alternatives: list[Alternative], distinct: int, mean_chars: float) ->
 
 
 def shape_table(distinct_values: DataFrame) -> DataFrame:
-    """Per column and collapsed shape: distinct values, rows, characters, per run its lengths and extremes.
+    """Per column and collapsed shape: distinct values, characters, per run its lengths and extremes, and one value.
 
-    distinct_values: column_name, value (string, not null), n. Only shapes that could pay for themselves as an
-    alternative (two distinct values or more, or the only shape) come out, at most MAX_ALTERNATIVES a column.
+    distinct_values: column_name, value (string, not null), n. Of each column the MAX_ALTERNATIVES commonest shapes come
+    out. All aggregates over values keep numbers only (hashes of runs tell whether a run is constant), so they are hash
+    aggregates, combined before the shuffle.
     """
     from pyspark.sql.window import Window
 
-    s = shape(F.col("value"))
-    v = distinct_values.select("column_name", "value", "n", s.alias("s")).withColumn("collapsed", runs(F.col("s")))
-    base = v.groupBy("column_name", "collapsed").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.sum(F.length("value")).alias("chars"))
+    v = distinct_values.select("column_name", "value", shape(F.col("value")).alias("s"))
+    exact = v.groupBy("column_name", "s").agg(F.count(F.lit(1)).alias("values"), F.sum(F.length("value")).alias("chars"))
+    base = exact.groupBy("column_name", runs(F.col("s")).alias("collapsed")).agg(F.sum("values").alias("values"), F.sum("chars").alias("chars"))
     w = Window.partitionBy("column_name").orderBy(F.desc("values"), "collapsed")
-    top = base.withColumn("place", F.row_number().over(w)).where(F.col("place") <= MAX_ALTERNATIVES)
-    # runs of the shapes kept: the pieces of the value run by run
-    piece = F.regexp_extract_all(F.col("value"), F.lit(r"([0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7f]+|[\x00-\x7f])"), 1)
-    run = v.join(F.broadcast(top.select("column_name", "collapsed")), ["column_name", "collapsed"]).select("column_name", "collapsed", F.posexplode(piece).alias("at", "piece"))
-    spans = run.groupBy("column_name", "collapsed", "at").agg(F.min(F.length("piece")).alias("low"), F.max(F.length("piece")).alias("high"), F.min("piece").alias("least"), F.max("piece").alias("most"))
-    per = spans.groupBy("column_name", "collapsed").agg(F.array_sort(F.collect_list(F.struct("at", "low", "high", "least", "most"))).alias("spans"))
-    return top.join(per, ["column_name", "collapsed"], "left")
+    top = cut(base.withColumn("place", F.row_number().over(w)).where(F.col("place") <= MAX_ALTERNATIVES).drop("place"), "shapes")
+    # at most MAX_ALTERNATIVES rows a column are broadcast
+    held = v.withColumn("collapsed", runs(F.col("s"))).join(F.broadcast(top.select("column_name", "collapsed")), ["column_name", "collapsed"])
+    pieces = lambda c: F.regexp_extract_all(c, F.lit(r"([0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7f]+|[\x00-\x7f])"), 1)
+    run = held.select("column_name", "collapsed", F.posexplode(pieces(F.col("value"))).alias("at", "piece"))
+    size, first, h = F.length("piece"), F.ascii("piece"), F.xxhash64("piece")
+    spans = run.groupBy("column_name", "collapsed", "at").agg(F.min(size).alias("low"), F.max(size).alias("high"), F.min(first).alias("first"), F.max(first).alias("last"), (F.min(h) == F.max(h)).alias("same"))
+    per = spans.groupBy("column_name", "collapsed").agg(F.array_sort(F.collect_list(F.struct("at", "low", "high", "first", "last", "same"))).alias("spans"))
+    least = held.groupBy("column_name", "collapsed").agg(F.min(F.xxhash64("value")).alias("h"))
+    example = held.join(F.broadcast(least), ["column_name", "collapsed"]).where(F.xxhash64("value") == F.col("h")).groupBy("column_name", "collapsed").agg(F.min("value").alias("example"))
+    return top.join(per, ["column_name", "collapsed"], "left").join(example.withColumn("example", pieces(F.col("example"))), ["column_name", "collapsed"], "left")
 
 
 def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int]]:
@@ -132,8 +137,12 @@ def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int]]
     by: dict[str, list[Alternative]] = {}
     for r in shape_table(distinct_values).collect():
         spans = r["spans"] or []
-        if len(spans) == len(r["collapsed"]):
-            by.setdefault(r["column_name"], []).append(Alternative(r["collapsed"], r["values"], r["chars"], *([x[k] for x in spans] for k in ("low", "high", "least", "most"))))
+        if spans and len(spans) == len(r["collapsed"]) == len(r["example"]):
+            least = [r["example"][i] if x["same"] else chr(x["first"]) for i, x in enumerate(spans)]
+            most = [r["example"][i] if x["same"] else chr(x["last"]) for i, x in enumerate(spans)]
+            # runs that begin alike but differ are no literals
+            most = [m if x["same"] or m != b else m + "+" for x, b, m in zip(spans, least, most, strict=True)]
+            by.setdefault(r["column_name"], []).append(Alternative(r["collapsed"], r["values"], r["chars"], [x["low"] for x in spans], [x["high"] for x in spans], least, most))
         elif not r["collapsed"]:  # the empty value
             by.setdefault(r["column_name"], []).append(Alternative("", r["values"], 0.0))
     out = {}

@@ -43,7 +43,9 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFr
     with open(path.removeprefix("file://"), encoding="latin-1") as f:
         header = f.readline().rstrip("\r\n").split("\t")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField("_bad", T.StringType())])
-    raw = spark.read.schema(schema).option("sep", "\t").option("quote", "").option("encoding", "ISO-8859-1").option("header", "true").option("mode", "PERMISSIVE").option("enforceSchema", "true").option("columnNameOfCorruptRecord", "_bad").csv(path)
+    raw = spark.read.schema(schema).option("sep", "\t").option("quote", "").option("encoding", "ISO-8859-1").option("header", "true").option("mode", "PERMISSIVE").option("enforceSchema", "true").option("columnPruning", "false").option("columnNameOfCorruptRecord", "_bad").csv(path)
+    # the reader needs a column besides _bad in every query on it
+    raw = raw.where(F.length(F.coalesce(F.col(header[0]), F.lit(""))) >= 0)
     good = raw.where("_bad is null").select(*(null_tokens(F.col(c)).alias(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns))
     return good, raw.where("_bad is not null").select("_bad")
 

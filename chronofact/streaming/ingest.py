@@ -1,7 +1,7 @@
-"""Streams: archives' rows as they land, and versions kept up to date per micro-batch.
+"""Streams: archives' rows as they land, and counts per day with a watermark.
 
-The published capability is batch; these entry points feed the same operators from a stream. Each micro-batch replaces
-whole quarters, so a batch that is run again after a failure leaves the same table (exactly once by replacement).
+The published capability is batch; these entry points feed the same operators from a stream. A micro-batch is written to
+partitions of its own number, replaced as a whole, so a batch that is run again after a failure leaves the same table.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chronofact.sources.store import PartitionedTable
-
 
 def stream_facts(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
     """Parquet files of facts as they arrive in a folder."""
@@ -21,27 +19,22 @@ def stream_facts(spark: SparkSession, folder: str, schema, max_files: int | None
     return reader.parquet(folder)
 
 
-def merge_quarters(table: PartitionedTable, batch: DataFrame) -> None:
-    """Rows of a micro-batch join the quarter they belong to; a load (source_sha256) that came before is replaced."""
-    batch = batch.persist()
-    try:
-        for r in batch.select("quarter").distinct().collect():  # a few quarters a batch
-            new = batch.where(F.col("quarter") == r["quarter"])
-            old = table.read().where(F.col("quarter") == r["quarter"]).join(new.select("source_sha256").distinct(), "source_sha256", "left_anti").select(*table.schema.names)
-            # the old rows are written beside first: a partition can't be read while it is replaced
-            from chronofact.session import cut
-
-            table.replace(cut(old.unionByName(new.select(*table.schema.names)), "merge"), r["quarter"])
-    finally:
-        batch.unpersist()
+def write_batch(path: str, df: DataFrame, batch: int) -> None:
+    """Rows of a micro-batch under its number, by quarter; running the batch again replaces exactly them."""
+    df.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "quarter").parquet(path)
 
 
-def keep_quarters(stream: DataFrame, table: PartitionedTable, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Feed a stream into a partitioned table; once=True takes what is there and ends."""
-    writer = stream.writeStream.foreachBatch(lambda df, _: merge_quarters(table, df)).option("checkpointLocation", checkpoint)
+def keep_batches(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Feed a stream into a table partitioned by batch and quarter; once=True takes what is there and ends."""
+    writer = stream.writeStream.foreachBatch(lambda df, n: write_batch(path, df, n)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What the stream has brought so far, without the batch numbers; a filter on quarter prunes folders."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def reports_per_day(stream: DataFrame, delay: str = "30 days") -> DataFrame:
     """Reports and null values per filing day and form, as a stream with a watermark on the day."""
     day = stream.withColumn("ts", F.col("knowledge_date").cast("timestamp"))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import __spark_entry__ as entry
 import pytest
-from chronofact.schema import FACTS
-from chronofact.sources.store import PartitionedTable
 from chronofact.streaming import ingest
 from tests.conftest import SF
 
@@ -32,12 +30,15 @@ def test_against_sql(spark, name):
 
 def test_stream_into_quarters(spark, tmp_path):
     src = spark.read.parquet(f"{SF}/facts.parquet")
-    folder, table = str(tmp_path / "in"), PartitionedTable(spark, str(tmp_path / "facts"), FACTS)
+    folder, path = str(tmp_path / "in"), str(tmp_path / "facts")
     src.repartition(3).write.parquet(folder)
     for _ in range(2):  # the second run finds nothing new
-        ingest.keep_quarters(ingest.stream_facts(spark, folder, src.schema, max_files=1), table, str(tmp_path / "cp")).awaitTermination(240)
-    last = table.read()
-    assert last.select("source_sha256").distinct().count() == src.select("source_sha256").distinct().count()
+        ingest.keep_batches(ingest.stream_facts(spark, folder, src.schema, max_files=1), path, str(tmp_path / "cp")).awaitTermination(240)
+    kept = ingest.read_batches(spark, path, src.schema)
+    assert kept.count() == src.count() and kept.select(*src.columns).exceptAll(src).count() == 0
+    ingest.write_batch(path, kept.where("quarter = '2020q1'").limit(1), 99)
+    ingest.write_batch(path, kept.where("quarter = '2020q1'").limit(1), 99)  # run again
+    assert ingest.read_batches(spark, path, src.schema).count() == src.count() + 1
     q = ingest.reports_per_day(ingest.stream_facts(spark, folder, src.schema)).writeStream.format("memory").queryName("per_day").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(240)
     assert spark.sql("select sum(n_facts) from per_day").first()[0] == src.where("knowledge_date is not null").count()
