@@ -22,6 +22,8 @@ CLASSES = (("digit", "9", r"[0-9]", math.log2(10)), ("lower", "a", r"[a-z]", mat
 ANY_BITS = math.log2(96)
 #: What an alternative costs besides its runs: its ends and its place among the others.
 ALTERNATIVE_BITS = 12.0
+#: The textual forms of types that have but one.
+FORMS = {"date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}", "boolean": "true|false"} | dict.fromkeys(("timestamp", "timestamp_ntz"), r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?")
 #: Loads are broadcast to their rows up to this many (counted first), joined by shuffle beyond.
 LOADS_BROADCAST = 200_000
 #: An expression has at most so many alternatives; a value under none of them counts as spelled out.
@@ -48,6 +50,7 @@ class Alternative:
 
     collapsed: str
     values: int = 0
+    rows: int = 0
     chars: float = 0.0
     low: list[int] = field(default_factory=list)
     high: list[int] = field(default_factory=list)
@@ -105,50 +108,66 @@ def induce(alternatives: list[Alternative], distinct: int, mean_chars: float) ->
     return "|".join(f"(?:{a.expression()})" for a in kept), kept
 
 
+def _pieces(value: Column) -> Column:
+    """The runs of a value."""
+    return F.regexp_extract_all(value, F.lit(r"([0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7f]+|[\x00-\x7f])"), 1)
+
+
+def shaped(distinct_values: DataFrame) -> DataFrame:
+    """Values with their shapes, exact (s) and collapsed."""
+    return distinct_values.withColumn("s", shape(F.col("value"))).withColumn("collapsed", runs(F.col("s")))
+
+
 def shape_table(distinct_values: DataFrame) -> DataFrame:
-    """Per column and collapsed shape: distinct values, characters, per run its lengths and extremes, and one value.
+    """Per column the MAX_ALTERNATIVES commonest collapsed shapes: distinct values, characters, an example's runs, per run
+    its lengths, which runs differ from the example (bits), and the least and greatest sign of runs of one sign.
 
-    distinct_values: column_name, value (string, not null), n. Of each column the MAX_ALTERNATIVES commonest shapes come
-    out. All aggregates over values keep numbers only (hashes of runs tell whether a run is constant), so they are hash
-    aggregates, combined before the shuffle.
+    distinct_values: column_name, value (string, not null), n. Lengths of runs come from the exact shapes, of which there
+    are far fewer than values. All aggregates over values keep numbers only, so they are hash aggregates, combined before
+    the shuffle; only runs of one sign are exploded. Runs after the 62nd count as differing.
     """
     from pyspark.sql.window import Window
 
-    v = distinct_values.select("column_name", "value", shape(F.col("value")).alias("s"))
-    exact = v.groupBy("column_name", "s").agg(F.count(F.lit(1)).alias("values"), F.sum(F.length("value")).alias("chars"))
-    base = exact.groupBy("column_name", runs(F.col("s")).alias("collapsed")).agg(F.sum("values").alias("values"), F.sum("chars").alias("chars"))
+    v = distinct_values if "collapsed" in distinct_values.columns else shaped(distinct_values)
+    exact = cut(v.groupBy("column_name", "s", "collapsed").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.sum(F.length("value")).alias("chars"), F.min(F.xxhash64("value")).alias("h")), "exact")
+    base = exact.groupBy("column_name", "collapsed").agg(*(F.sum(c).alias(c) for c in ("values", "rows", "chars")), F.min("h").alias("h"))
     w = Window.partitionBy("column_name").orderBy(F.desc("values"), "collapsed")
     top = cut(base.withColumn("place", F.row_number().over(w)).where(F.col("place") <= MAX_ALTERNATIVES).drop("place"), "shapes")
-    # at most MAX_ALTERNATIVES rows a column are broadcast
-    held = v.withColumn("collapsed", runs(F.col("s"))).join(F.broadcast(top.select("column_name", "collapsed")), ["column_name", "collapsed"])
-    pieces = lambda c: F.regexp_extract_all(c, F.lit(r"([0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7f]+|[\x00-\x7f])"), 1)
-    run = held.select("column_name", "collapsed", F.posexplode(pieces(F.col("value"))).alias("at", "piece"))
-    size, first, h = F.length("piece"), F.ascii("piece"), F.xxhash64("piece")
-    spans = run.groupBy("column_name", "collapsed", "at").agg(F.min(size).alias("low"), F.max(size).alias("high"), F.min(first).alias("first"), F.max(first).alias("last"), (F.min(h) == F.max(h)).alias("same"))
-    per = spans.groupBy("column_name", "collapsed").agg(F.array_sort(F.collect_list(F.struct("at", "low", "high", "first", "last", "same"))).alias("spans"))
-    least = held.groupBy("column_name", "collapsed").agg(F.min(F.xxhash64("value")).alias("h"))
-    example = held.join(F.broadcast(least), ["column_name", "collapsed"]).where(F.xxhash64("value") == F.col("h")).groupBy("column_name", "collapsed").agg(F.min("value").alias("example"))
-    return top.join(per, ["column_name", "collapsed"], "left").join(example.withColumn("example", pieces(F.col("example"))), ["column_name", "collapsed"], "left")
-
-
-def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int]]:
-    """Expression and number of alternatives per column. The driver gets at most MAX_ALTERNATIVES short rows a column."""
+    key = ["column_name", "collapsed"]
+    # at most MAX_ALTERNATIVES rows a column are broadcast, here and below
+    lengths = exact.join(F.broadcast(top.select(*key)), key).select(*key, F.posexplode(F.regexp_extract_all("s", F.lit(r"(9+|a+|A+|ä+|.|\n)"), 1)).alias("at", "run"))
+    lengths = lengths.groupBy(*key, "at").agg(F.min(F.length("run")).alias("low"), F.max(F.length("run")).alias("high"), F.max(F.col("run").rlike("^[9aAä]")).alias("is_run"))
+    lengths = lengths.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", "low", "high", "is_run"))).alias("spans"))
+    hashed = distinct_values.select("column_name", "value", F.xxhash64("value").alias("h"))
+    example = hashed.join(F.broadcast(top.select("column_name", "h", "collapsed")), ["column_name", "h"]).groupBy(*key).agg(_pieces(F.min("value")).alias("example"))
+    known = cut(top.join(lengths, key).join(example, key), "alternatives")
+    single = F.transform(F.filter("spans", lambda x: x["is_run"] & (x["high"] == 1)), lambda x: x["at"])
+    held = v.join(F.broadcast(known.select(*key, "example", single.alias("single"))), key).withColumn("p", _pieces(F.col("value")))
+    bit = F.transform("p", lambda x, i: F.when((i < 62) & (x != F.get("example", i)), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
+    held = held.select(*key, F.aggregate(bit, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)).alias("bits"), F.transform("single", lambda i: F.struct(i.alias("at"), F.ascii(F.get("p", i)).alias("sign"))).alias("signs"))
+    one = held.select(*key, "bits", F.explode_outer("signs").alias("x")).groupBy(*key, "x.at").agg(F.bit_or("bits").alias("bits"), F.min("x.sign").alias("first"), F.max("x.sign").alias("last"))
+    seen = one.groupBy(*key).agg(F.bit_or("bits").alias("bits"), F.collect_list(F.struct("at", "first", "last")).alias("signs"))
+    return known.join(seen, key)
+
+
+def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int, int | None]]:
+    """Per column its expression, the number of alternatives, and the rows of their values (None for `.*`: all rows).
+
+    An alternative's lengths and signs are those of all values of its shape, so just these conform to it. The driver gets at most MAX_ALTERNATIVES short rows a column."""
     counts = {r["column_name"]: (r["d"], r["c"] or 0.0) for r in distinct_values.groupBy("column_name").agg(F.count(F.lit(1)).alias("d"), F.avg(F.length("value")).alias("c")).collect()}
     by: dict[str, list[Alternative]] = {}
     for r in shape_table(distinct_values).collect():
-        spans = r["spans"] or []
-        if spans and len(spans) == len(r["collapsed"]) == len(r["example"]):
-            least = [r["example"][i] if x["same"] else chr(x["first"]) for i, x in enumerate(spans)]
-            most = [r["example"][i] if x["same"] else chr(x["last"]) for i, x in enumerate(spans)]
-            # runs that begin alike but differ are no literals
-            most = [m if x["same"] or m != b else m + "+" for x, b, m in zip(spans, least, most, strict=True)]
-            by.setdefault(r["column_name"], []).append(Alternative(r["collapsed"], r["values"], r["chars"], [x["low"] for x in spans], [x["high"] for x in spans], least, most))
+        if r["collapsed"] and len(r["spans"]) == len(r["collapsed"]) == len(r["example"]):
+            signs = {x["at"]: (chr(x["first"]), chr(x["last"])) for x in r["signs"] if x["at"] is not None}
+            # a run that differs somewhere and isn't of one sign is open: least and most are no literals
+            ends = [(e, e) if i < 62 and not r["bits"] >> i & 1 else signs.get(i, (e, e + "+")) for i, e in enumerate(r["example"])]
+            by.setdefault(r["column_name"], []).append(Alternative(r["collapsed"], r["values"], r["rows"], r["chars"], [x["low"] for x in r["spans"]], [x["high"] for x in r["spans"]], *map(list, zip(*ends, strict=True))))
         elif not r["collapsed"]:  # the empty value
-            by.setdefault(r["column_name"], []).append(Alternative("", r["values"], 0.0))
+            by.setdefault(r["column_name"], []).append(Alternative("", r["values"], r["rows"], 0.0))
     out = {}
     for c, (d, mean) in counts.items():
         expression, kept = induce(by.get(c, []), d, mean)
-        out[c] = (expression, len(kept))
+        out[c] = (expression, len(kept), sum(a.rows for a in kept) if kept else None)
     return out
 
 
@@ -166,55 +185,44 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def profile_columns(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
-    """One row per column: rows, nulls, null_rate, distinct, least and greatest (as text, in the column's own order for
-    numbers), mean, negatives, the induced expression, its alternatives, and rows that don't conform to it.
+    """One row per column: rows, nulls, null_rate, distinct, least and greatest (in the column's own order, as text), mean,
+    negatives, the induced expression, its alternatives, and rows that don't conform to it.
 
     An empty table gives a row per column with zero counts. NaN counts as a value.
     """
     kinds = dict(df.dtypes)
     columns = columns or [c for c, k in df.dtypes if not k.startswith(("array", "map", "struct"))]
+    # dates, times and flags have one textual form each, and nothing to induce
+    texts = F.col("column_name").isin([c for c in columns if kinds[c] not in FORMS])
     values = distinct_values(df, columns)
-    values = cut(values, "profile")
-    expressions = induce_expressions(values.where("value is not null"))
+    text = F.when(texts & F.col("value").isNotNull(), F.col("value"))
+    values = cut(values.withColumn("s", shape(text)).withColumn("collapsed", runs(F.col("s"))), "profile")
+    expressions = {c: (FORMS[kinds[c]], 1, None) for c in columns if kinds[c] in FORMS} | induce_expressions(values.where(F.col("value").isNotNull() & texts))
     numeric = [c for c in columns if kinds[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or kinds[c].startswith("decimal")]
-    number = F.when(F.col("column_name").isin(numeric), F.col("value").cast("double"))
-    match = F.lit(True)
-    for c, (e, _) in sorted(expressions.items()):
-        match = F.when((F.col("column_name") == c) & F.col("value").isNotNull(), F.col("value").rlike(f"(?s)^(?:{e})\\z")).otherwise(match)
-    facts = (
-        values.withColumn("x", number)
-        .withColumn("ok", match)
+    x = F.when(F.col("column_name").isin(numeric), F.col("value").cast("double"))
+    counts = {
+        r["column_name"]: r
+        for r in values.withColumn("x", x)
         .groupBy("column_name")
         .agg(
             F.sum("n").alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
             F.count("value").alias("n_distinct"),
-            F.min("value").alias("t_min"),
-            F.max("value").alias("t_max"),
-            F.min("x").alias("x_min"),
-            F.max("x").alias("x_max"),
             (F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n")))).alias("mean"),
-            F.coalesce(F.sum(F.when(F.col("x") < 0, F.col("n"))), F.lit(0)).alias("n_negative"),
-            F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), F.lit(0)).alias("n_nonconforming"),
+            F.sum(F.when(F.col("x") < 0, F.col("n")).otherwise(0)).alias("n_negative"),
         )
-    )
-    spark = df.sparkSession
-    found = spark.createDataFrame([(table, c, *expressions.get(c, (".*", 0)), c in numeric) for c in columns], "table_name string, column_name string, expression string, alternatives int, is_number boolean")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return found.join(facts, "column_name", "left").select(
-        "table_name",
-        "column_name",
-        zero("n_rows"),
-        zero("n_null"),
-        F.when(F.col("n_rows") > 0, F.round(F.col("n_null") / F.col("n_rows"), 6)).alias("null_rate"),
-        zero("n_distinct"),
-        F.when(F.col("is_number"), F.col("x_min").cast("string")).otherwise(F.col("t_min")).alias("min_value"),
-        F.when(F.col("is_number"), F.col("x_max").cast("string")).otherwise(F.col("t_max")).alias("max_value"),
-        "mean",
-        zero("n_negative"),
-        "expression",
-        "alternatives",
-        zero("n_nonconforming"),
+        .collect()  # a row a column
+    }
+    ends = df.agg(*(f(f"`{c}`").cast("string").alias(f"{tag}{i}") for i, c in enumerate(columns) for f, tag in ((F.min, "a"), (F.max, "z")))).first()
+    rows = []
+    for i, c in enumerate(columns):
+        r = counts.get(c)
+        expression, n, conforming = expressions.get(c, (".*", 0, None))
+        total, null = (r["n_rows"], r["n_null"]) if r else (0, 0)
+        odd = 0 if conforming is None else total - null - conforming
+        rows.append((table, c, total, null, round(null / total, 6) if total else None, r["n_distinct"] if r else 0, ends[f"a{i}"], ends[f"z{i}"], r["mean"] if r else None, r["n_negative"] if r else 0, expression, n, odd))
+    return df.sparkSession.createDataFrame(
+        rows, "table_name string, column_name string, n_rows bigint, n_null bigint, null_rate double, n_distinct bigint, min_value string, max_value string, mean double, n_negative bigint, expression string, alternatives int, n_nonconforming bigint"
     )
 
 
@@ -327,7 +335,7 @@ def induce_under_rule(df: DataFrame, column: str, rule: str) -> str:
     """Expression of a column whose values have a declared rule: values that break the rule are spelled out and support
     no alternative. The rule itself is the expression where no alternative pays for itself (few or no values)."""
     values = distinct_values(df, [column]).where(F.col("value").isNotNull() & F.col("value").rlike(rule))
-    expression = induce_expressions(values).get(column, (".*", 0))[0]
+    expression = induce_expressions(values).get(column, (".*",))[0]
     return rule if expression == ".*" else f"(?s)^(?:{expression})\\z"
 
 
@@ -376,7 +384,7 @@ def load_report(facts: DataFrame, manifest: DataFrame) -> DataFrame:
     """Every load with its metrics, those of the load before, and the coverage of the expression induced over all values."""
     counted = load_values(facts, "source_sha256", "value")
     texts = counted.where("value is not null").groupBy("value").agg(F.sum("n").alias("n")).select(F.lit("value").alias("column_name"), F.col("value").cast("string").alias("value"), "n")
-    expression = induce_expressions(texts).get("value", (".*", 0))[0]
+    expression = induce_expressions(texts).get("value", (".*",))[0]
     cover = cut(expression_coverage(counted, expression), "coverage")
     follows = manifest.select(F.col("source_sha256").alias("load"), F.col("previous_sha256").alias("previous"))
     return (
