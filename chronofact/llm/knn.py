@@ -106,9 +106,16 @@ class Scan:
         self.order = np.argsort(cell, kind="stable")
         self.cells, self.first = np.unique(cell[self.order], return_index=True)
         self.end = np.append(self.first[1:], len(cell))
+        # each list around its own mean: distances stay exact in single precision however close its vectors lie
         self.listed = x[self.order]
+        self.mean = np.add.reduceat(self.listed, self.first, axis=0) / (self.end - self.first)[:, None]
+        self.listed = self.listed - np.repeat(self.mean, self.end - self.first, axis=0)
         self.cuts = sorted({*(d for d in (16, 32) if d < dims), dims})
-        self.norms = [np.einsum("ij,ij->i", self.listed[:, a:b], self.listed[:, a:b]) for a, b in zip([0, *self.cuts], self.cuts, strict=False)]
+        self.norms = self._norms(self.listed)
+
+    def _norms(self, x: np.ndarray) -> list[np.ndarray]:
+        """Squared norms by column block."""
+        return [np.einsum("ij,ij->i", x[:, a:b], x[:, a:b]) for a, b in zip([0, *self.cuts], self.cuts, strict=False)]
 
     def run(self, q: np.ndarray, probes: np.ndarray, self_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, squared distances) of the nearest listed vectors per asker; probes: cells in order, -1 for none.
@@ -119,7 +126,6 @@ class Scan:
         best = np.full((n, self.keep), np.inf, dtype=np.float32)
         rows = np.full((n, self.keep), -1, dtype=np.int64)
         place = {int(c): i for i, c in enumerate(self.cells)}
-        qn = [np.einsum("ij,ij->i", q[:, a:b], q[:, a:b]) for a, b in zip([0, *self.cuts], self.cuts, strict=False)]
         for p in range(probes.shape[1]):  # nearest lists first: bounds are tight when the others are scanned
             order = np.argsort(probes[:, p], kind="stable")
             cells, first = np.unique(probes[order, p], return_index=True)
@@ -130,17 +136,17 @@ class Scan:
                     for s in range(a, b, 2048):
                         who = order[s : min(b, s + 2048)]
                         if p == 0:
-                            self._home(q, qn, who, i, best, rows, self_row)
+                            self._home(q[who] - self.mean[i], who, i, best, rows, self_row)
                         else:
-                            left.append(self._list(q, qn, who, i, best))
+                            left.append(self._list(q[who] - self.mean[i], who, i, best))
             if left:
                 self._merge(*(np.concatenate(x) for x in zip(*left, strict=True)), best, rows, self_row)
         return rows, best
 
-    def _home(self, q, qn, who, i, best, rows, self_row) -> None:
+    def _home(self, q, who, i, best, rows, self_row) -> None:
         """The first list of an asker, in full: it sets the bound for all others."""
         lo, hi = self.first[i], self.end[i]
-        d = sum(x[who] for x in qn)[:, None] + sum(x[lo:hi] for x in self.norms)[None, :] - 2 * (q[who] @ self.listed[lo:hi].T)
+        d = np.einsum("ij,ij->i", q, q)[:, None] + sum(x[lo:hi] for x in self.norms)[None, :] - 2 * (q @ self.listed[lo:hi].T)
         at = self.order[lo:hi]
         d[at[None, :] == self_row[who][:, None]] = np.inf
         keep = min(self.keep, hi - lo)
@@ -150,15 +156,16 @@ class Scan:
         best[who, :keep] = np.take_along_axis(found, pick, axis=1)
         rows[who, :keep] = np.where(np.isfinite(best[who, :keep]), np.take_along_axis(at[top], pick, axis=1), -1)
 
-    def _list(self, q, qn, who, i, best) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _list(self, q, who, i, best) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A further list, column block by column block; what the test leaves over: (askers, rows, squared distances)."""
         lo, hi = self.first[i], self.end[i]
         bound = best[who, K - 1]
+        norms = self._norms(q)
         d, start = None, 0
         for j, stop in enumerate(self.cuts):
-            part = q[who, start:stop] @ self.listed[lo:hi, start:stop].T
+            part = q[:, start:stop] @ self.listed[lo:hi, start:stop].T
             part *= -2
-            part += qn[j][who][:, None]
+            part += norms[j][:, None]
             part += self.norms[j][None, lo:hi]
             d = part if d is None else np.add(d, part, out=d)
             start = stop
@@ -170,7 +177,7 @@ class Scan:
         qi, ci = np.divmod(alive, hi - lo)
         rest = d.ravel()[alive]
         if stop < self.dims and len(alive):
-            diff = q[who[qi], stop:] - self.listed[lo + ci, stop:]
+            diff = q[qi, stop:] - self.listed[lo + ci, stop:]
             rest = rest + np.einsum("ij,ij->i", diff, diff)
         ok = rest < best[who[qi], -1]
         return who[qi[ok]], self.order[lo + ci[ok]], rest[ok]

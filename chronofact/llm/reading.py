@@ -225,7 +225,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str],
         .limit(SAMPLE_DOCUMENTS)
     )
     # at most SAMPLE_DOCUMENTS rows of two numbers are broadcast
-    rows = documents.join(F.broadcast(some), "doc_id").where(F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "reading_level").collect()
+    rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").where(F.col("text").rlike(r"\p{L}")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     return [r["text"] for r in rows], [r["reading_level"] for r in rows]
 
