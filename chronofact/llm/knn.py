@@ -223,10 +223,14 @@ def usable_vectors(vectors: DataFrame, versions: DataFrame) -> DataFrame:
     """index_version, vec_id, embedding of rows that can be compared: an id, a known version, of its dims, all components
     finite, not all zero. Null components and unknown versions are not usable."""
     dims = versions.where("index_version is not null and dims is not null").groupBy("index_version").agg(F.max("dims").alias("dims"))
-    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x))
+    e = F.col("embedding")
+    inf = F.lit(float("inf"))
+    # NaN is the greatest of an array; nulls are left out by array_compact
+    finite = (F.size(F.array_compact(e)) == F.col("dims")) & (F.array_max(e) < inf) & (F.array_min(e) > -inf)
     return (
-        vectors.join(dims, "index_version")
-        .where(F.col("vec_id").isNotNull() & (F.size("embedding") == F.col("dims")) & finite & F.exists("embedding", lambda x: x != 0))
+        vectors.select("index_version", "vec_id", "embedding")
+        .join(dims, "index_version")
+        .where(F.col("vec_id").isNotNull() & (F.size(e) == F.col("dims")) & finite & ((F.array_max(e) > 0) | (F.array_min(e) < 0)))
         .select("index_version", "vec_id", "embedding")
     )
 
@@ -302,7 +306,7 @@ def _assign(cells: dict[str, tuple[int, np.ndarray]]):
     return run
 
 
-_FOUND = "rep bigint, copies int, ids array<bigint>, cosines array<double>"
+_FOUND = "index_version string, rep bigint, copies int, ids array<bigint>, cosines array<double>"
 
 
 def _search_group(table: pa.Table) -> pa.Table:
@@ -346,7 +350,7 @@ def _search_group(table: pa.Table) -> pa.Table:
         if len(members[at]) > 1:
             ids[at] = members[at] + ids[at]
             cosines[at] = [1.0] * len(members[at]) + cosines[at]
-    return pa.table({"rep": pa.array(rep, pa.int64()), "copies": pa.array([len(m) for m in members], pa.int32()), "ids": pa.array(ids, pa.list_(pa.int64())), "cosines": pa.array(cosines, pa.list_(pa.float64()))})
+    return pa.table({"index_version": table.column("index_version"), "rep": pa.array(rep, pa.int64()), "copies": pa.array([len(m) for m in members], pa.int32()), "ids": pa.array(ids, pa.list_(pa.int64())), "cosines": pa.array(cosines, pa.list_(pa.float64()))})
 
 
 #: A group of copies is spread over so many parts when its ids are put back.
@@ -357,13 +361,14 @@ def similar_vectors(vectors: DataFrame, versions: DataFrame) -> DataFrame:
     """The K most similar vectors of every usable vector: vec_id, rank (from 1), neighbour, cosine.
 
     Neighbours are of the same version, a vector isn't its own; equal cosines (to 12 places): smaller vec_id first.
-    Repeated rows count once; of an id listed with several vectors, one row (the first met) counts. Exact copies are
+    Repeated rows count once; of an id listed with several vectors in a version, the one of the least hash counts. Exact copies are
     each other's neighbours. A version of one vector has none; empty tables give no rows.
     """
     spark = vectors.sparkSession
     usable = usable_vectors(vectors, versions)
     # narrow: ids by the hash of their vector (128 bits); copies of any number meet in counts and six smallest ids only
-    ids = cut(usable.select("index_version", "vec_id", F.xxhash64(F.lit(1), "embedding").alias("h1"), F.xxhash64(F.lit(2), "embedding").alias("h2")).distinct(), "ids")
+    h = lambda k: F.xxhash64(F.lit(k), "embedding")
+    ids = cut(usable.groupBy("index_version", "vec_id").agg(F.min(F.struct(h(1).alias("h1"), h(2).alias("h2"))).alias("h")).select("index_version", "vec_id", "h.h1", "h.h2"), "ids")
     place = F.row_number().over(Window.partitionBy("index_version", "h1", "h2").orderBy("vec_id"))
     classes = cut(
         ids.withColumn("place", place).where(F.col("place") <= K + 1).groupBy("index_version", "h1", "h2").agg(F.sort_array(F.collect_list("vec_id")).alias("members")).withColumn("rep", F.col("members")[0]),
@@ -373,21 +378,23 @@ def similar_vectors(vectors: DataFrame, versions: DataFrame) -> DataFrame:
     if not counts:
         return spark.createDataFrame([], "vec_id bigint, rank int, neighbour bigint, cosine double")
     cells = fit_cells(usable, counts)
-    one = usable.groupBy("vec_id").agg(F.first("index_version").alias("index_version"), F.first("embedding").alias("embedding"))
-    reps = one.withColumnRenamed("vec_id", "rep").join(classes.select("rep", "members"), "rep").select("index_version", "rep", "members", "embedding")
+    one = usable.groupBy("index_version", F.col("vec_id").alias("rep")).agg(F.min_by("embedding", F.struct(h(1), h(2))).alias("embedding"))
+    reps = one.join(classes.select("index_version", "rep", "members"), ["index_version", "rep"]).select("index_version", "rep", "members", "embedding")
     asked = reps.mapInArrow(_assign(cells), _ASK)
     found = asked.groupBy("index_version", "block").applyInArrow(_search_group, _FOUND)
     pairs = F.arrays_zip(F.transform("cosines", lambda c: -F.round(c, 12)).alias("far"), F.col("ids").alias("id"))
     several = {v for v, (per, c) in cells.items() if per < len(c)}
-    found = found.select("rep", "copies", pairs.alias("near"))
+    key = ["index_version", "rep"]
+    found = found.select(*key, "copies", pairs.alias("near"))
     if several:
-        found = found.groupBy("rep").agg(F.first("copies").alias("copies"), F.flatten(F.collect_list("near")).alias("near"))  # a row a block asked
-    found = cut(found.select("rep", "copies", F.array_sort("near").alias("near")), "near")
+        found = found.groupBy(*key).agg(F.first("copies").alias("copies"), F.flatten(F.collect_list("near")).alias("near"))  # a row a block asked
+    found = cut(found.select(*key, "copies", F.array_sort("near").alias("near")), "near")
     single = found.where("copies = 1").select(F.col("rep").alias("vec_id"), "near")
-    many = found.where("copies > 1").select("rep", "near", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    keys = classes.where("size(members) > 1").select("index_version", "h1", "h2", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    of = ids.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int")).join(keys, ["index_version", "h1", "h2", "salt"]).select("vec_id", "rep", "salt")
-    copied = of.join(many, ["rep", "salt"]).select("vec_id", "near")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    many = found.where("copies > 1").select(*key, "near", salts)
+    keys = classes.where("size(members) > 1").select("index_version", "h1", "h2", "rep", salts)
+    of = ids.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int")).join(keys, ["index_version", "h1", "h2", "salt"]).select(*key, "vec_id", "salt")
+    copied = of.join(many, [*key, "salt"]).select("vec_id", "near")
     own = F.slice(F.filter("near", lambda x: x["id"] != F.col("vec_id")), 1, K)
     return single.unionByName(copied).select("vec_id", F.posexplode(own).alias("at", "n")).select("vec_id", (F.col("at") + 1).alias("rank"), F.col("n.id").alias("neighbour"), (-F.col("n.far")).alias("cosine"))
 
