@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from chronofact.operators.runs import starts, whole_keys
 from chronofact.session import shuffle_partitions
 
+#: Hot keys are broadcast up to this many.
+HOT_BROADCAST = 100_000
 _SPAN = 1 << 24  # more than the days of all dates; composite of entity and day
 
 
@@ -137,8 +139,8 @@ def attributes_as_of(events: DataFrame, versions: DataFrame, hot: int = 50_000)
     Of several versions that hold, the one that starts last (ties: known last, then the larger number) is taken. Nulls in
     keys, dates or ids never match; empty windows never match.
     Only versions of keys that are asked for go to the trees. Keys with more than `hot` events are cut into slices: the
-    events are spread, the key's versions copied to each slice; such keys number at most events / hot, so their list is
-    small, and it is joined, not collected.
+    events are spread, the key's versions copied to each slice. The list of such keys is broadcast while it has no more
+    than HOT_BROADCAST rows (counted), joined by shuffle beyond.
     """
     spark = events.sparkSession
     asked = events.select("event_id", "key", "known", "valid").where(" and ".join(f"{c} is not null" for c in ("event_id", "key", "known", "valid")))
@@ -147,7 +149,8 @@ def attributes_as_of(events: DataFrame, versions: DataFrame, hot: int = 50_000)
     n = shuffle_partitions(spark)
     # every event of a key below the limit is in slice 0; a join for the number of slices is needed for the hot ones only
     many = per_key.where("slices > 1")
-    e = asked.join(F.broadcast(many), "key", "left").select("key", F.when(F.col("slices").isNull(), 0).otherwise(F.pmod(F.xxhash64("event_id"), F.col("slices"))).cast("int").alias("slice"), F.lit(1).alias("kind"), F.unix_date("known").alias("known"), F.unix_date("valid").alias("start"), F.lit(0).alias("end"), F.col("event_id").alias("id"))
+    few = many.count() <= HOT_BROADCAST
+    e = asked.join(F.broadcast(many) if few else many, "key", "left").select("key", F.when(F.col("slices").isNull(), 0).otherwise(F.pmod(F.xxhash64("event_id"), F.col("slices"))).cast("int").alias("slice"), F.lit(1).alias("kind"), F.unix_date("known").alias("known"), F.unix_date("valid").alias("start"), F.lit(0).alias("end"), F.col("event_id").alias("id"))
     v = usable.join(per_key, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"), F.unix_date("known").alias("known"), F.unix_date("valid_from").alias("start"), F.unix_date("valid_to").alias("end"), F.col("version_no").alias("id"))
     both = v.unionByName(e).repartition(n, "key", "slice").sortWithinPartitions("key", "slice", "kind", "known", "start", "id")
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("version_no", T.LongType())])

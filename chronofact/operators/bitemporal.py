@@ -36,7 +36,7 @@ LEDGER = T.StructType(
 
 
 #: Keys are counted by this many hash buckets; a bucket is hot from HOT_ROWS rows and HOT_TIMES the mean on.
-BUCKETS, HOT_ROWS, HOT_TIMES = 65_536, 500_000, 16
+BUCKETS, HOT_ROWS, HOT_TIMES = 1 << 18, 500_000, 16
 #: Filings are broadcast to their reports up to this many (counted first), joined by shuffle beyond.
 FILINGS_BROADCAST = 1_000_000
 
