@@ -65,6 +65,13 @@ def latest_quarters(n: int, today: datetime.date) -> list[str]:
     return [f"{m // 12}q{m % 12 // 3 + 1}" for m in range(month - 3 * n, month, 3)]
 
 
+def quarters_since(first: str, today: datetime.date) -> list[str]:
+    """Partitions from a quarter on to the last completed one."""
+    year, q = map(int, first.split("q"))
+    n = 4 * (today.year - year) + (today.month - 1) // 3 + 1 - q
+    return latest_quarters(max(n, 0), today)
+
+
 def chunk_id(adsh: Column, item: Column, index: Column, text: Column) -> Column:
     """F16: content address of a chunk, 32 hex digits."""
     return F.substring(F.sha2(F.concat_ws("|", adsh, item, index.cast("string"), text), 256), 1, 32)

@@ -331,6 +331,23 @@ def expression_coverage(counted: DataFrame, expression: str) -> DataFrame:
     return counted.where("value is not null").groupBy("load").agg((F.sum(F.when(ok, F.col("n")).otherwise(0)) / F.sum("n")).alias("coverage"))
 
 
+def expression_shift(counted: DataFrame, follows: DataFrame, expression: str) -> DataFrame:
+    """How much the values' shapes moved between a load and the one before (load, previous, expression_shift): half the sum
+    of the differences of the alternatives' shares, 0 for alike and 1 for nothing in common. Values under no alternative
+    are a share of their own. Loads without values aren't compared."""
+    index = F.lit(-1)
+    for i, a in enumerate(reversed(alternatives := expression.removeprefix("(?:").removesuffix(")").split(")|(?:"))):
+        index = F.when(F.col("value").cast("string").rlike(f"(?s)^(?:{a})\\z"), len(alternatives) - 1 - i).otherwise(index)
+    per = counted.where("value is not null").groupBy("load", index.alias("i")).agg(F.sum("n").alias("n"))
+    per = cut(per, "alternatives")  # a row a load and alternative
+    total = per.groupBy("load").agg(F.sum("n").alias("total"))
+    share = per.join(total, "load").select("load", "i", (F.col("n") / F.col("total")).alias("share"))
+    pairs = follows.where("load is not null and previous is not null").distinct().join(total.select("load"), "load", "left_semi").join(total.select(F.col("load").alias("previous")), "previous", "left_semi")
+    now = pairs.join(share, "load").select("load", "previous", "i", "share")
+    before = pairs.join(share.withColumnRenamed("load", "previous"), "previous").select("load", "previous", "i", (-F.col("share")).alias("share"))
+    return now.unionByName(before).groupBy("load", "previous", "i").agg(F.abs(F.sum("share")).alias("d")).groupBy("load", "previous").agg(F.round(F.sum("d") / 2, 6).alias("expression_shift"))
+
+
 def induce_under_rule(df: DataFrame, column: str, rule: str) -> str:
     """Expression of a column whose values have a declared rule: values that break the rule are spelled out and support
     no alternative. The rule itself is the expression where no alternative pays for itself (few or no values)."""
@@ -391,5 +408,6 @@ def load_report(facts: DataFrame, manifest: DataFrame) -> DataFrame:
         compare_loads(load_profiles(counted), follows)
         .join(cover.withColumnRenamed("coverage", "coverage_now"), "load", "left")
         .join(cover.select(F.col("load").alias("previous"), F.col("coverage").alias("coverage_before")), "previous", "left")
+        .join(expression_shift(counted, follows, expression), ["load", "previous"], "left")
         .withColumn("expression", F.lit(expression))
     )

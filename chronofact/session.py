@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIR: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def build_session(app: str = "chronofact", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,10 +58,22 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_clear, os.getpid())
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _clear(pid: int) -> None:
+    """When the driver ends, remove the tables it wrote to a mounted shared folder (object stores: by their own expiry)."""
+    if os.getpid() == pid:
+        for path in _WRITTEN:
+            local = path.removeprefix("file://")
+            if local.startswith("/"):
+                shutil.rmtree(local, ignore_errors=True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

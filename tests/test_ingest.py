@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chronofact.functions import scalar
 from chronofact.operators import checks, pit
 from chronofact.schema import ContractError, FACTS, SUBMISSIONS, conform, normalize_for_publish, schema_differences
+from chronofact.sources import documents
 from chronofact.sources.archive import parse_archive
 from chronofact.sources.ingest import Lakehouse, NotPublished, Pipeline, download
 from chronofact.sources.store import ObjectStore
@@ -23,6 +24,7 @@ NOW = datetime.datetime(2025, 4, 1)
 def test_quarters():
     assert scalar.quarter_id(datetime.date(2025, 5, 1)) == "2025q2"
     assert scalar.latest_quarters(2, datetime.date(2025, 9, 23)) == ["2025q1", "2025q2"]
+    assert scalar.quarters_since("2024q3", datetime.date(2025, 5, 1)) == ["2024q3", "2024q4", "2025q1"] and scalar.quarters_since("2026q1", datetime.date(2025, 5, 1)) == []
     assert scalar.latest_quarters(1, datetime.date(2025, 1, 5)) == ["2024q4"]
 
 
@@ -143,3 +145,20 @@ def test_normalize_and_conform(spark):
 def test_urls(spark):
     df = spark.createDataFrame([(320193, "0000320193-24-000123", "aapl-20240928_htm.xml")], "cik int, adsh string, instance string")
     assert df.select(scalar.document_url("https://x.example/", F.col("cik"), F.col("adsh"), F.col("instance"))).first()[0] == "https://x.example/320193/000032019324000123/aapl-20240928.htm"
+
+
+def test_documents_are_replaced_one_by_one(spark, tmp_path):
+    c = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3"), ("c", "4")], "adsh string, chunk_id string")
+    new = spark.createDataFrame([("b", "5"), ("d", "6"), (None, "7")], "adsh string, chunk_id string")
+    assert sorted(tuple(r) for r in documents.replace_documents(c, new).collect()) == [("a", "1"), ("a", "2"), ("b", "5"), ("c", "4"), ("d", "6")]
+    anew = spark.createDataFrame([("a", "2"), ("a", "1"), ("b", "9")], "adsh string, chunk_id string")
+    out, changed = documents.rechunk(c, anew)
+    assert sorted(r.adsh for r in changed.collect()) == ["b", "c"] and sorted(tuple(r) for r in out.collect()) == [("a", "1"), ("a", "2"), ("b", "9")]
+    subs = spark.createDataFrame([("x", 1, "10-Q", "i", 3), ("y", 1, "10-K", "i", 2), ("y", 1, "10-K", "i", 2), ("z", 1, "10-K", "", 1), ("w", 2, "10-K", "i", 1)], "adsh string, cik int, form string, instance string, filed int")
+    got = documents.filings_to_fetch(subs, spark.createDataFrame([(1,), (1,)], "cik int"), ["10-K", "10-Q"], 5).orderBy("place")
+    assert [r.adsh for r in got.collect()] == ["y", "x"]
+    (tmp_path / "q.jsonl").write_text('{"query": "a", "cik": 1}\n\n{"query": "b"}\n')
+    assert [tuple(r) for r in documents.read_jsonl(spark, str(tmp_path / "q.jsonl"), "query string, cik int").orderBy("query").collect()] == [("a", 1), ("b", None)]
+    reports = documents.Reports(str(tmp_path / "reports"))
+    reports.write({"index_version": "v", "promoted": True})
+    assert reports.read("v")["promoted"]

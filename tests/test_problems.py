@@ -207,3 +207,12 @@ def test_loads_against_plain_python(spark):
     follows = spark.createDataFrame([("l3", "l2"), ("l3", "l2"), ("l0", None), ("empty", "l0"), ("l1", "gone")], "load string, previous string")
     flags = {r.load: r for r in profile.compare_loads(profile.load_profiles(profile.load_values(df, "load", "value")), follows).collect()}
     assert set(flags) == {"l3", "empty"} and flags["l3"].is_sign and flags["empty"].is_null_rate and not flags["empty"].is_scale
+
+
+def test_expression_shift_between_loads(spark):
+    rows = [("a", float(i), 1) for i in range(10)] + [("b", float(i), 1) for i in range(5)] + [("b", float(i) * -1, 1) for i in range(1, 6)] + [("c", None, 3)]
+    counted = spark.createDataFrame(rows, "load string, value double, n bigint")
+    follows = spark.createDataFrame([("b", "a"), ("b", "a"), ("c", "b"), ("a", None)], "load string, previous string")
+    got = profile.expression_shift(counted, follows, r"(?:[0-9]\.0)|(?:\-[0-9]\.0)").collect()
+    assert [tuple(r) for r in got] == [("b", "a", 0.5)]
+    assert profile.expression_shift(counted, follows, ".*").first().expression_shift == 0
