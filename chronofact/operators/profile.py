@@ -110,7 +110,7 @@ def induce(alternatives: list[Alternative], distinct: int, mean_chars: float) ->
 
 def _pieces(value: Column) -> Column:
     """The runs of a value."""
-    return F.regexp_extract_all(value, F.lit(r"([0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7f]+|[\x00-\x7f])"), 1)
+    return F.regexp_extract_all(value, F.lit(r"[0-9]++|[a-z]++|[A-Z]++|[^\x00-\x7f]++|[\x00-\x7f]"), 0)
 
 
 def shaped(distinct_values: DataFrame) -> DataFrame:
