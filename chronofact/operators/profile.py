@@ -1,9 +1,11 @@
 """Column-level quality profile, with column expressions induced by minimum description length (MDL).
 
 Every distinct value of a column is reduced on the JVM to its shape (runs of digits, lower, upper, other letters, and
-literal signs), and the shapes are counted; the values themselves never leave their partition. The expression of a
-column is the set of alternatives with the shortest description: bits of the alternatives plus bits of all distinct
-values under them, against spelling values out. Runs become literals, fixed or ranged repeats.
+literal signs), and the shapes are counted; the values themselves never leave their partition. Shapes are the leaves of
+a tree of ever more general ones: words in camel case repeat, letters and digits join, groups repeat, signs become a
+class, at last one class for the column. The expression of a column is the cut through the tree with the shortest
+description: bits of the alternatives plus bits of all distinct values under them, against spelling values out. Every
+shape is weighed. Runs become literals, fixed or ranged repeats.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ ALTERNATIVE_BITS = 12.0
 FORMS = {"date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}", "boolean": "true|false"} | dict.fromkeys(("timestamp", "timestamp_ntz"), r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?")
 #: Loads are broadcast to their rows up to this many (counted first), joined by shuffle beyond.
 LOADS_BROADCAST = 200_000
-#: An expression has at most so many alternatives; a value under none of them counts as spelled out.
-MAX_ALTERNATIVES = 24
-
+#: Levels of the tree of shapes, from the shape itself to the one class of all signs of the column.
+LEVELS = 7
+#: What the class of a run and a sign cost in an alternative. The two ends of a run's lengths cost half log2(distinct values) each.
+RUN_BITS, SIGN_BITS = 3.0, 8.0
 
 _ASCII = {"A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "a": "abcdefghijklmnopqrstuvwxyz", "9": "0123456789"}
 
@@ -50,8 +53,6 @@ class Alternative:
 
     collapsed: str
     values: int = 0
-    rows: int = 0
-    chars: float = 0.0
     low: list[int] = field(default_factory=list)
     high: list[int] = field(default_factory=list)
     least: list[str] = field(default_factory=list)
@@ -73,40 +74,6 @@ class Alternative:
                 out.append(signs[sign] + ("" if lo == hi == 1 else f"{{{lo}}}" if lo == hi else f"{{{lo},{hi}}}"))
         return "".join(out)
 
-    def bits(self) -> tuple[float, float]:
-        """(bits of the model, bits of the values)."""
-        per = {c[1]: c[3] for c in CLASSES}
-        model, data = ALTERNATIVE_BITS, 0.0
-        for i, sign in enumerate(self.collapsed):
-            model += 3
-            if sign not in per:
-                model += 5
-                continue
-            lo, hi = self.low[i], self.high[i]
-            if self.least[i] == self.most[i]:
-                model += len(self.least[i]) * per[sign]
-                continue
-            width = ord(self.most[i]) - ord(self.least[i]) + 1 if lo == hi == 1 else 0
-            model += 2 * math.log2(hi + 1) + 2 + (2 * per[sign] if width else 0)
-            data += self.values * (math.log2(width) if width else (lo + hi) / 2 * per[sign] + math.log2(hi - lo + 1))
-        return model, data
-
-
-def induce(alternatives: list[Alternative], distinct: int, mean_chars: float) -> tuple[str, list[Alternative]]:
-    """The expression with the shortest description of all distinct values; `.*` if no alternative pays for itself."""
-    spelled = (mean_chars + 1) * ANY_BITS
-    kept = []
-    for a in sorted(alternatives, key=lambda a: (-a.values, a.collapsed)):
-        model, data = a.bits()
-        own = a.chars + a.values  # characters with ends
-        if model + data + a.values * math.log2(len(alternatives) + 1) < own * ANY_BITS:
-            kept.append(a)
-    covered = sum(a.values for a in kept)
-    total = sum(sum(a.bits()) for a in kept) + (distinct - covered) * (spelled + 1)
-    if not kept or covered < distinct / 2 or total >= distinct * spelled:
-        return ".*", []
-    return "|".join(f"(?:{a.expression()})" for a in kept), kept
-
 
 def _pieces(value: Column) -> Column:
     """The runs of a value."""
@@ -118,57 +85,195 @@ def shaped(distinct_values: DataFrame) -> DataFrame:
     return distinct_values.withColumn("s", shape(F.col("value"))).withColumn("collapsed", runs(F.col("s")))
 
 
-def shape_table(distinct_values: DataFrame) -> DataFrame:
-    """Per column the MAX_ALTERNATIVES commonest collapsed shapes: distinct values, characters, an example's runs, per run
-    its lengths, which runs differ from the example (bits), and the least and greatest sign of runs of one sign.
-
-    distinct_values: column_name, value (string, not null), n. Lengths of runs come from the exact shapes, of which there
-    are far fewer than values. All aggregates over values keep numbers only, so they are hash aggregates, combined before
-    the shuffle; only runs of one sign are exploded. Runs after the 62nd count as differing.
+def _keys(k0: Column) -> list[Column]:
+    """Keys of a collapsed shape on levels 1 to LEVELS - 1, each a function of the one before. Letters of a shape are
+    classes, so that C (words in camel case), w ([a-z0-9]), W ([A-Za-z0-9]) and L, R (ends of a repeated group) are free."""
+    k1 = F.regexp_replace(k0, "(?:Aa)+", "C")
+    k2 = F.regexp_replace(F.regexp_replace(k1, "[9a]*[AC][9aAC]*", "W"), "[9a]+", "w")
+    k3 = F.translate(k2, "w", "W")
+    k4 = F.regexp_replace(k3, r"((?:W[^W]+){1,2}?)\1+", "L$1R")
+    k5 = F.array_join(F.array_sort(F.array_distinct(F.split(k3, ""))), "")
+    return [k1, k2, k3, k4, k5, F.lit("")]
+
+
+#: Runs and signs of an exact shape on levels 0 to 3; they stand in the order of the key's signs.
+_TOKENS = (r"(9+|a+|A+|ä+|[\s\S])", r"((?:A+a+)+|9+|a+|A+|ä+|[\s\S])", r"([9aA]+|ä+|[\s\S])", r"([9aA]+|ä+|[\s\S])")
+
+
+def _count(key: Column, signs: str) -> Column:
+    return F.length(key) - F.length(F.translate(key, signs, ""))
+
+
+def _own_bits(level: int, key: Column, signs: Column) -> Column:
+    """Bits of one alternative for all values of a node, and of these values under it. signs: size of the column's class."""
+    n, log = F.col("values"), lambda c: F.log2(c.cast("double"))
+    lengths = lambda chars, runs: F.when((F.col("patterns") > 1) & (runs > 0), runs * log(chars / runs + 1)).otherwise(0.0)
+    place = n * log(F.col("distinct") / n)
+    run = RUN_BITS + log(F.col("distinct"))
+    if level <= 1:
+        model = run * _count(key, "9aAäC") + SIGN_BITS * (F.length(key) - _count(key, "9aAäC"))
+        data = F.col("class_bits") + lengths(F.col("alnum") + F.col("others"), F.col("runs")) + (2 * n * _count(key, "C") if level else F.lit(0))
+    elif level <= 4:
+        model = run * _count(key, "wWä") + SIGN_BITS * (F.length(key) - _count(key, "wWä"))
+        small = F.col("small") if level == 2 else F.lit(0)
+        data = math.log2(36) * small + math.log2(62) * (F.col("alnum") - small) + CLASSES[3][3] * F.col("others") + lengths(F.col("alnum") + F.col("others"), n * _count(F.col("k3"), "Wä") if level < 4 else F.col("words"))
+        data = data + 3 * n * _count(key, "L")
+    else:
+        size = F.when(F.length(key) > 0, F.length(key) + 61 * _count(key, "W") + 2000 * _count(key, "ä")).otherwise(F.lit(1)) if level == 5 else signs
+        model = run + SIGN_BITS * (F.length(key) if level == 5 else F.least(signs, F.lit(96)))
+        data = F.col("chars") * log(size) + n * log(F.col("chars") / n + 1)
+    return ALTERNATIVE_BITS + model + data + place
+
+
+def shape_tree(distinct_values: DataFrame) -> DataFrame:
+    """Every exact shape of every column (column_name, s) with its place in the cut of the tree that has the shortest
+    description: level and key of its alternative (level null: its values are spelled out), values, rows, h (least hash).
+
+    distinct_values: column_name, value (string, not null), n. The best cut below each node is found level by level from
+    the leaves: an alternative of its own against the best of its children, at the leaves against spelling out. All is
+    hash aggregates over shapes; no shape is left out, however rare.
+    """
+    v = distinct_values if "collapsed" in distinct_values.columns else shaped(distinct_values)
+    ks = [f"k{i}" for i in range(LEVELS)]
+    exact = v.groupBy("column_name", "s", F.col("collapsed").alias("k0")).agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.min(F.xxhash64("value")).alias("h"))
+    chain = exact
+    for i in range(1, LEVELS):  # k5 comes from k3
+        chain = chain.withColumn(f"k{i}", _keys(F.col("k0"))[i - 1])
+    exact = cut(chain, "exact")
+    n, s = F.col("values"), F.col("s")
+    sums = {
+        "values": n, "rows": F.col("rows"), "chars": n * F.length(s), "alnum": n * _count(s, "9aA"), "others": n * _count(s, "ä"),
+        "small": n * _count(F.regexp_replace(s, "[9a]*A[9aA]*", ""), "9a"), "class_bits": n * sum(c[3] * _count(s, c[1]) for c in CLASSES),
+        "runs": n * _count(F.col("k0"), "9aAä"), "words": n * _count(F.col("k3"), "Wä"),
+    }
+    node = cut(exact.groupBy("column_name", *ks).agg(*(F.sum(c).alias(k) for k, c in sums.items()), F.count(F.lit(1)).alias("patterns")), "leaves")
+    distinct = node.groupBy("column_name").agg(F.sum("values").alias("distinct"))
+    seen = node.select("column_name", F.explode(F.split("k5", "")).alias("sign")).distinct().groupBy("column_name").agg(F.sum(F.when(F.col("sign") == "W", 62).when(F.col("sign") == "ä", 2000).otherwise(F.length("sign"))).alias("signs"))
+    per = F.broadcast(distinct.join(seen, "column_name", "left").withColumn("signs", F.greatest(F.coalesce("signs", F.lit(1)), F.lit(1))))  # a row a column
+    placed = node.select("column_name", *ks)
+    node = node.withColumn("below", (F.col("chars") + n) * ANY_BITS + n)
+    for level in range(LEVELS):
+        if level:
+            node = node.groupBy("column_name", *ks[level:]).agg(*(F.sum(k).alias(k) for k in [*sums, "patterns"]), F.sum("best").alias("below"))
+            if level >= 4:
+                node = node.withColumn("k3", F.lit(""))
+        node = node.drop("distinct", "signs").join(per, "column_name")
+        node = cut(node.withColumn("own", _own_bits(level, F.col(ks[level]), F.col("signs"))).withColumn("best", F.least("own", "below")), "nodes")
+        placed = placed.join(node.select("column_name", ks[level], (F.col("own") < F.col("below")).alias(f"own{level}")), ["column_name", ks[level]])
+        if level >= 4:
+            node = node.drop("k3")
+    level = F.coalesce(*(F.when(F.col(f"own{i}"), F.lit(i)) for i in reversed(range(LEVELS))))
+    placed = placed.withColumn("level", level)
+    key = F.coalesce(*(F.when(F.col("level") == i, F.col(k)) for i, k in enumerate(ks)))
+    placed = placed.select("column_name", "k0", "level", key.alias("key"))
+    return cut(exact.select("column_name", "s", "k0", "k5", "values", "rows", "h").join(placed, ["column_name", "k0"]), "tree")
+
+
+def shape_details(distinct_values: DataFrame, tree: DataFrame) -> DataFrame:
+    """Of alternatives that are shapes themselves (level 0): an example's runs, which runs differ from the example (bits),
+    and the least and greatest sign of runs of one sign. Runs after the 62nd count as differing.
+
+    All aggregates over values keep numbers only, so they are hash aggregates, combined before the shuffle; only runs of
+    one sign are exploded.
     """
-    from pyspark.sql.window import Window
-
     v = distinct_values if "collapsed" in distinct_values.columns else shaped(distinct_values)
-    exact = cut(v.groupBy("column_name", "s", "collapsed").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.sum(F.length("value")).alias("chars"), F.min(F.xxhash64("value")).alias("h")), "exact")
-    base = exact.groupBy("column_name", "collapsed").agg(*(F.sum(c).alias(c) for c in ("values", "rows", "chars")), F.min("h").alias("h"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("values"), "collapsed")
-    top = cut(base.withColumn("place", F.row_number().over(w)).where(F.col("place") <= MAX_ALTERNATIVES).drop("place"), "shapes")
     key = ["column_name", "collapsed"]
-    # at most MAX_ALTERNATIVES rows a column are broadcast, here and below
-    lengths = exact.join(F.broadcast(top.select(*key)), key).select(*key, F.posexplode(F.regexp_extract_all("s", F.lit(r"(9+|a+|A+|ä+|.|\n)"), 1)).alias("at", "run"))
-    lengths = lengths.groupBy(*key, "at").agg(F.min(F.length("run")).alias("low"), F.max(F.length("run")).alias("high"), F.max(F.col("run").rlike("^[9aAä]")).alias("is_run"))
-    lengths = lengths.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", "low", "high", "is_run"))).alias("spans"))
-    hashed = distinct_values.select("column_name", "value", F.xxhash64("value").alias("h"))
-    example = hashed.join(F.broadcast(top.select("column_name", "h", "collapsed")), ["column_name", "h"]).groupBy(*key).agg(_pieces(F.min("value")).alias("example"))
-    known = cut(top.join(lengths, key).join(example, key), "alternatives")
-    single = F.transform(F.filter("spans", lambda x: x["is_run"] & (x["high"] == 1)), lambda x: x["at"])
-    held = v.join(F.broadcast(known.select(*key, "example", single.alias("single"))), key).withColumn("p", _pieces(F.col("value")))
+    leaves = tree.where("level = 0").withColumnRenamed("k0", "collapsed")
+    lengths = leaves.select(*key, F.posexplode(F.regexp_extract_all("s", F.lit(_TOKENS[0]), 1)).alias("at", "run")).groupBy(*key, "at").agg(F.max(F.length("run")).alias("high"), F.max(F.col("run").rlike("^[9aAä]")).alias("is_run"))
+    single = lengths.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(F.col("is_run") & (F.col("high") == 1), F.col("at")))).alias("single"))
+    top = leaves.groupBy(*key).agg(F.min("h").alias("h"))
+    hashed = v.select(*key, "value", F.xxhash64("value").alias("h"))
+    example = hashed.join(top, [*key, "h"]).groupBy(*key).agg(_pieces(F.min("value")).alias("example"))
+    known = cut(example.join(single, key), "alternatives")
+    held = v.join(known, key).withColumn("p", _pieces(F.col("value")))
     bit = F.transform("p", lambda x, i: F.when((i < 62) & (x != F.get("example", i)), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
     held = held.select(*key, F.aggregate(bit, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)).alias("bits"), F.transform("single", lambda i: F.struct(i.alias("at"), F.ascii(F.get("p", i)).alias("sign"))).alias("signs"))
     one = held.select(*key, "bits", F.explode_outer("signs").alias("x")).groupBy(*key, "x.at").agg(F.bit_or("bits").alias("bits"), F.min("x.sign").alias("first"), F.max("x.sign").alias("last"))
     seen = one.groupBy(*key).agg(F.bit_or("bits").alias("bits"), F.collect_list(F.struct("at", "first", "last")).alias("signs"))
-    return known.join(seen, key)
+    return known.join(seen, key).select("column_name", F.col("collapsed").alias("key"), "example", "bits", "signs")
 
 
-def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int, int | None]]:
-    """Per column its expression, the number of alternatives, and the rows of their values (None for `.*`: all rows).
-
-    An alternative's lengths and signs are those of all values of its shape, so just these conform to it. The driver gets at most MAX_ALTERNATIVES short rows a column."""
-    counts = {r["column_name"]: (r["d"], r["c"] or 0.0) for r in distinct_values.groupBy("column_name").agg(F.count(F.lit(1)).alias("d"), F.avg(F.length("value")).alias("c")).collect()}
-    by: dict[str, list[Alternative]] = {}
-    for r in shape_table(distinct_values).collect():
-        if r["collapsed"] and len(r["spans"]) == len(r["collapsed"]) == len(r["example"]):
-            signs = {x["at"]: (chr(x["first"]), chr(x["last"])) for x in r["signs"] if x["at"] is not None}
+#: Expression of a sign of a key on levels 1 to 4, without its repeats.
+_SIGNS = {c[1]: c[2] for c in CLASSES} | {"C": "(?:[A-Z]+[a-z]+)", "w": "[a-z0-9]", "W": "[A-Za-z0-9]", "L": "(?:", "R": "){2,}"}
+
+
+def _general(level: int, key: str, low: list[int], high: list[int], signs: str, shortest: int, longest: int) -> str:
+    """Expression of an alternative on levels 1 to 6 (Java syntax)."""
+    if level >= 5:
+        inner = "".join(_SIGNS[x][1:-1] if x == "W" else f"[{_SIGNS[x][1:-1]}]" if x == "ä" else re.escape(x) for x in signs)
+        return f"[{inner}]{{{shortest},{longest}}}" if inner else ""
+    out = []
+    for i, x in enumerate(key):
+        if x not in _SIGNS:
+            out.append(re.escape(x))
+        elif x in "LR":
+            out.append(_SIGNS[x])
+        elif x == "C" or level == 4:
+            out.append(_SIGNS[x] + "+")
+        else:
+            out.append(_SIGNS[x] + ("" if low[i] == high[i] == 1 else f"{{{low[i]}}}" if low[i] == high[i] else f"{{{low[i]},{high[i]}}}"))
+    return "".join(out)
+
+
+@dataclass
+class Induced:
+    """Expression of a column: its alternatives, most values first, and those that a shape of another place may match too."""
+
+    alternatives: list[str]
+    general: list[str]
+
+    @property
+    def expression(self) -> str:
+        return "|".join(f"(?:{a})" for a in self.alternatives) or ".*"
+
+
+def induce(distinct_values: DataFrame) -> tuple[dict[str, Induced], DataFrame]:
+    """Per column its expression, and every exact shape with its alternative: column_name, s, rows, alternative (number
+    from 0 in the order of the expression, -1: none; shapes that match a general one by chance come after the last). The driver gets a row per alternative that pays for itself."""
+    tree = shape_tree(distinct_values)
+    chosen = tree.where("level is not null")
+    node = ["column_name", "level", "key"]
+    t = F.array(F.lit(""))
+    for i, pattern in enumerate(_TOKENS):
+        t = F.when(F.col("level") == i, F.regexp_extract_all("s", F.lit(pattern), 1)).otherwise(t)
+    spans = chosen.where("level < 4").select(*node, F.posexplode(t).alias("at", "run")).groupBy(*node, "at").agg(F.min(F.length("run")).alias("low"), F.max(F.length("run")).alias("high"))
+    spans = spans.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("at", "low", "high"))).alias("spans"))
+    ends = chosen.groupBy(*node).agg(F.sum("values").alias("values"), F.min(F.length("s")).alias("shortest"), F.max(F.length("s")).alias("longest"))
+    signs = chosen.where("level >= 5").select(*node, F.explode(F.split("k5", "")).alias("sign")).groupBy(*node).agg(F.array_join(F.array_sort(F.collect_set("sign")), "").alias("signs"))
+    details = {(r["column_name"], r["key"]): r for r in shape_details(distinct_values, tree).collect()}
+    found: dict[str, list[tuple]] = {}
+    for r in ends.join(spans, node, "left").join(signs, node, "left").collect():
+        low, high = [x["low"] for x in r["spans"] or ()], [x["high"] for x in r["spans"] or ()]
+        if r["level"]:
+            text = _general(r["level"], r["key"], low, high, r["signs"] or "", r["shortest"], r["longest"])
+        else:
+            x = details[r["column_name"], r["key"]]
+            one = {y["at"]: (chr(y["first"]), chr(y["last"])) for y in x["signs"] if y["at"] is not None}
             # a run that differs somewhere and isn't of one sign is open: least and most are no literals
-            ends = [(e, e) if i < 62 and not r["bits"] >> i & 1 else signs.get(i, (e, e + "+")) for i, e in enumerate(r["example"])]
-            by.setdefault(r["column_name"], []).append(Alternative(r["collapsed"], r["values"], r["rows"], r["chars"], [x["low"] for x in r["spans"]], [x["high"] for x in r["spans"]], *map(list, zip(*ends, strict=True))))
-        elif not r["collapsed"]:  # the empty value
-            by.setdefault(r["column_name"], []).append(Alternative("", r["values"], r["rows"], 0.0))
-    out = {}
-    for c, (d, mean) in counts.items():
-        expression, kept = induce(by.get(c, []), d, mean)
-        out[c] = (expression, len(kept), sum(a.rows for a in kept) if kept else None)
-    return out
+            open_ = [(e, e) if i < 62 and not x["bits"] >> i & 1 else one.get(i, (e, e + "+")) for i, e in enumerate(x["example"])]
+            text = Alternative(r["key"], r["values"], low, high, [a for a, _ in open_], [b for _, b in open_]).expression()
+        found.setdefault(r["column_name"], []).append((-r["values"], r["level"], r["key"], text))
+    out, places = {}, []
+    for c, rows in found.items():
+        rows.sort()
+        out[c] = Induced([x[3] for x in rows], [x[3] for x in rows if x[1] >= 2])
+        places += [(c, x[1], x[2], i) for i, x in enumerate(rows)]
+    place = distinct_values.sparkSession.createDataFrame(places, "column_name string, level int, key string, alternative int")
+    # a shape that is spelled out may match a general alternative by chance; classes match a shape's signs as its values'
+    chance = F.lit(-1)
+    for c, x in out.items():
+        if x.general:
+            may = "|".join(f"(?:{a})" for a in x.general)
+            chance = F.when((F.col("column_name") == c) & F.col("s").rlike(f"(?s)^(?:{may})\\z"), len(x.alternatives)).otherwise(chance)
+    named = chosen.join(place, node).select("column_name", "s", "rows", "alternative")
+    return out, cut(named.unionByName(tree.where("level is null").select("column_name", "s", "rows", chance.alias("alternative"))), "members")
+
+
+def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int, int | None]]:
+    """Per column its expression, the number of alternatives, and the rows that conform (None for `.*`: all rows)."""
+    induced, members = induce(distinct_values)
+    conforming = {r["column_name"]: r["n"] for r in members.where("alternative >= 0").groupBy("column_name").agg(F.sum("rows").alias("n")).collect()}
+    return {c: (x.expression, len(x.alternatives), conforming.get(c)) for c, x in induced.items()}
 
 
 def as_text(c: str) -> Column:

@@ -216,3 +216,19 @@ def test_expression_shift_between_loads(spark):
     got = profile.expression_shift(counted, follows, r"(?:[0-9]\.0)|(?:\-[0-9]\.0)").collect()
     assert [tuple(r) for r in got] == [("b", "a", 0.5)]
     assert profile.expression_shift(counted, follows, ".*").first().expression_shift == 0
+
+
+def test_every_shape_is_weighed(spark):
+    """Thousands of shapes, none of them common: one general expression, and what doesn't fit it is reported."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcABC0123456789xyzXYZ") for _ in range(rng.randint(8, 14)))
+    good = sorted({f"{word()}={word()};" for _ in range(600)})
+    df = spark.createDataFrame([(x,) for x in good] + [("#!",), ("",)], "s string")
+    assert profile.shaped(profile.distinct_values(df, ["s"])).select("collapsed").distinct().count() > 500
+    r = profile.profile_columns(df, "t").first()
+    assert r.expression != ".*" and r.n_nonconforming == 2 and r.alternatives < 24
+    assert df.where(F.col("s").rlike(f"(?s)^(?:{r.expression})\\z")).count() == len(good)
+    # forty shapes of fixed lengths, equally common
+    many = spark.range(4000).select(F.concat(*(F.when(F.shiftright("id", i).bitwiseAND(F.lit(1)) == 1, F.format_string("%02d", F.col("id") % 97)).otherwise(F.lit("xy")) for i in range(6)), F.lit("-"), F.format_string("%04d", "id")).alias("code"))
+    r = profile.profile_columns(many, "t").first()
+    assert r.expression != ".*" and r.n_nonconforming == 0 and many.where(F.col("code").rlike(f"^(?:{r.expression})\\z")).count() == 4000
