@@ -50,8 +50,15 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Sources that can't reach their share of a mix."""
-    return p8_report(spark, d).where("falls_short").select("mix_id", "source").distinct()
+    """Sources that can't reach their share of a mix: drawn with all repeats used, they stay under their quota."""
+    return short_of_quota(p8_shares(spark, d)).select("mix_id", "source").distinct()
+
+
+def short_of_quota(shares: DataFrame) -> DataFrame:
+    """Rows of p8_shares whose drawn tokens stay under the quota; falls_short must say the same, else the draw is wrong."""
+    short = F.col("drawn_tokens") < F.col("quota_tokens")
+    wrong = F.concat(F.lit("mix "), F.col("mix_id").cast("string"), F.lit(": drawn tokens and falls_short disagree on "), F.coalesce("source", F.lit("null")))
+    return shares.where(F.when(short.eqNullSafe(F.col("falls_short")), short).otherwise(F.raise_error(wrong).cast("boolean")))
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +77,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     drawn = mix.mix(sizes, targets).groupBy("mix_id", F.col("source").alias("source_key")).agg(F.sum("n_tokens").alias("drawn_tokens"), F.count(F.lit(1)).alias("drawn_records"), (F.max("repeat") + 1).alias("passes"))
     report = mix.mix_report(sizes, targets)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return report.join(drawn, ["mix_id", "source_key"], "left").select("mix_id", "source", "target_share", "max_repeats", zero("drawn_tokens"), zero("drawn_records"), zero("passes"), F.round(F.coalesce(F.col("drawn_tokens"), F.lit(0)) / F.col("total_tokens"), 6).alias("reached_share"), "falls_short")
+    return report.join(drawn, ["mix_id", "source_key"], "left").select("mix_id", "source", "target_share", "max_repeats", zero("drawn_tokens"), zero("drawn_records"), zero("passes"), F.round(F.coalesce(F.col("drawn_tokens"), F.lit(0)) / F.col("total_tokens"), 6).alias("reached_share"), "quota_tokens", "falls_short")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chronofact.llm import mix, pack, tokens
+from chronofact.llm import mix, pack, queries, tokens
+from tests.conftest import SF
 
 
 @settings(max_examples=300, deadline=None)
@@ -117,3 +118,14 @@ def test_mix(spark, monkeypatch):
             assert sorted(r.place for r in got if (r.mix_id, r.shard) == (m, k)) == list(range(sum((r.mix_id, r.shard) == (m, k) for r in got)))
     assert len({(r.mix_id, r.doc_id, r.repeat) for r in got}) == len(got)
     assert mix.mix(raw.limit(0), targets).count() == 0 and mix.mix(raw, targets.limit(0)).count() == 0
+
+
+def test_found_sources_come_from_the_draw(spark, monkeypatch):
+    drawn = []
+    one = mix.mix
+    monkeypatch.setattr(mix, "mix", lambda *a, **k: drawn.append(1) or one(*a, **k))
+    got = {tuple(r) for r in queries.p8_found(spark, SF).collect()}
+    assert drawn and got == {tuple(r) for r in queries.p8_report(spark, SF).where("falls_short").select("mix_id", "source").collect()}
+    bad = spark.createDataFrame([(1, "a", 5, 10.0, False)], "mix_id int, source string, drawn_tokens bigint, quota_tokens double, falls_short boolean")
+    with pytest.raises(Exception, match="disagree"):
+        queries.short_of_quota(bad).collect()
