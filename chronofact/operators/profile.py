@@ -389,16 +389,20 @@ def load_values(df: DataFrame, load: str, value: str) -> DataFrame:
 
 
 def load_profiles(counted: DataFrame) -> DataFrame:
-    """Per load of load_values: n_rows, n_null, n_values, n_distinct, n_negative, median_abs (over non-zero values)."""
+    """Per load of load_values: n_rows, n_null, n_values, n_distinct, n_negative, median_abs (over non-zero values).
+
+    If counted has a column x, it is the value as a number, null where the value isn't one.
+    """
+    x = "x" if "x" in counted.columns else "value"
     basic = counted.groupBy("load").agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("n_values"),
         F.count("value").alias("n_distinct"),
-        F.coalesce(F.sum(F.when(F.col("value") < 0, F.col("n"))), F.lit(0)).alias("n_negative"),
+        F.coalesce(F.sum(F.when(F.col(x) < 0, F.col("n"))), F.lit(0)).alias("n_negative"),
     )
     basic = cut(basic, "loads")
-    finite = counted.where("value is not null and value != 0 and not isnan(value) and abs(value) < double('Infinity')").select("load", F.abs("value").alias("a"), "n")
+    finite = counted.where(f"{x} is not null and {x} != 0 and not isnan({x}) and abs({x}) < double('Infinity')").select("load", F.abs(x).alias("a"), "n")
     return basic.join(_select_median(finite, "load", basic.count()), "load", "left").select(*basic.columns, F.col("median").alias("median_abs"))
 
 
@@ -444,7 +448,11 @@ def expression_shift(counted: DataFrame, follows: DataFrame, expression: str) ->
     for i, a in enumerate(reversed(alternatives := expression.removeprefix("(?:").removesuffix(")").split(")|(?:"))):
         index = F.when(F.col("value").cast("string").rlike(f"(?s)^(?:{a})\\z"), len(alternatives) - 1 - i).otherwise(index)
     per = counted.where("value is not null").groupBy("load", index.alias("i")).agg(F.sum("n").alias("n"))
-    per = cut(per, "alternatives")  # a row a load and alternative
+    return alternatives_shift(cut(per, "alternatives"), follows)  # a row a load and alternative
+
+
+def alternatives_shift(per: DataFrame, follows: DataFrame) -> DataFrame:
+    """expression_shift from rows per load and alternative (load, i, n)."""
     total = per.groupBy("load").agg(F.sum("n").alias("total"))
     share = per.join(total, "load").select("load", "i", (F.col("n") / F.col("total")).alias("share"))
     pairs = follows.where("load is not null and previous is not null").distinct().join(total.select("load"), "load", "left_semi").join(total.select(F.col("load").alias("previous")), "previous", "left_semi")
@@ -502,17 +510,50 @@ def broken_rules(facts: DataFrame, data_quality: DataFrame, manifest: DataFrame)
     )
 
 
-def load_report(facts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Every load with its metrics, those of the load before, and the coverage of the expression induced over all values."""
-    counted = load_values(facts, "source_sha256", "value")
-    texts = counted.where("value is not null").groupBy("value").agg(F.sum("n").alias("n")).select(F.lit("value").alias("column_name"), F.col("value").cast("string").alias("value"), "n")
-    expression = induce_expressions(texts).get("value", (".*",))[0]
-    cover = cut(expression_coverage(counted, expression), "coverage")
-    follows = manifest.select(F.col("source_sha256").alias("load"), F.col("previous_sha256").alias("previous"))
-    return (
+#: From this shift of the shapes' shares on a column's load is marked.
+SHAPE_LIMIT = 0.25
+
+
+def column_loads(df: DataFrame, load: str) -> DataFrame:
+    """load (struct of column_name and load), value (text, null kept), x (numbers only), n: one aggregation per column."""
+    out = None
+    for c, kind in df.dtypes:
+        if kind.startswith(("array", "map", "struct")):
+            continue
+        v = F.col("v")
+        number = kind in ("int", "bigint", "double", "float", "smallint", "tinyint") or kind.startswith("decimal")
+        counted = df.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("l"), F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        part = counted.select(F.struct(F.lit(c).alias("column_name"), F.col("l").alias("load")).alias("load"), v.cast("string").alias("value"), (v.cast("double") if number else F.lit(None).cast("double")).alias("x"), "n")
+        out = part if out is None else out.unionByName(part)
+    return cut(out, "loads")
+
+
+def load_report(facts: DataFrame, manifest: DataFrame, load: str = "source_sha256") -> DataFrame:
+    """Every column of every load beside the load it follows: the metrics of both, the coverage of the column's expression
+    (induced over all loads, as p1_profile has it), the shift of its alternatives, and flags. Signs and medians are those
+    of numbers; dates, times and flags have one form, which covers all."""
+    kinds = dict(facts.dtypes)
+    counted = column_loads(facts, load)
+    name = F.col("load.column_name")
+    texts = counted.where(F.col("value").isNotNull() & ~name.isin([c for c, k in kinds.items() if k in FORMS]))
+    values = cut(shaped(texts.groupBy(name.alias("column_name"), "value").agg(F.sum("n").alias("n"))), "profile")
+    induced, members = induce(values)
+    shapes = texts.groupBy("load", name.alias("column_name"), shape(F.col("value")).alias("s")).agg(F.sum("n").alias("n"))
+    # a column without alternatives is `.*`, which covers all
+    i = F.when(F.col("column_name").isin(list(induced)), F.coalesce("alternative", F.lit(-1))).otherwise(0)
+    fixed = counted.where(F.col("value").isNotNull() & name.isin([c for c, k in kinds.items() if k in FORMS])).groupBy("load").agg(F.sum("n").alias("n")).select("load", F.lit(0).alias("i"), "n")
+    per = shapes.join(members.select("column_name", "s", "alternative"), ["column_name", "s"], "left").groupBy("load", i.alias("i")).agg(F.sum("n").alias("n"))
+    per = cut(per.unionByName(fixed), "alternatives")
+    cover = cut(per.groupBy("load").agg((F.sum(F.when(F.col("i") >= 0, F.col("n")).otherwise(0)) / F.sum("n")).alias("coverage")), "coverage")
+    columns = facts.sparkSession.createDataFrame([(c,) for c, k in kinds.items() if not k.startswith(("array", "map", "struct"))], "column_name string")
+    pairs = manifest.select(F.col("source_sha256").alias("l"), F.col("previous_sha256").alias("p")).where("l is not null and p is not null").distinct()
+    of = lambda x: F.struct("column_name", F.col(x).alias("load"))
+    follows = cut(pairs.crossJoin(F.broadcast(columns)).select(of("l").alias("load"), of("p").alias("previous")), "follows")  # a row a column
+    report = (
         compare_loads(load_profiles(counted), follows)
         .join(cover.withColumnRenamed("coverage", "coverage_now"), "load", "left")
         .join(cover.select(F.col("load").alias("previous"), F.col("coverage").alias("coverage_before")), "previous", "left")
-        .join(expression_shift(counted, follows, expression), ["load", "previous"], "left")
-        .withColumn("expression", F.lit(expression))
+        .join(alternatives_shift(per, follows), ["load", "previous"], "left")
+        .withColumn("is_shape", F.coalesce(F.col("expression_shift") >= SHAPE_LIMIT, F.lit(False)))
     )
+    return report.withColumn("column_name", name).withColumn("load", F.col("load.load")).withColumn("previous", F.col("previous.load"))

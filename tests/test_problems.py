@@ -232,3 +232,15 @@ def test_every_shape_is_weighed(spark):
     many = spark.range(4000).select(F.concat(*(F.when(F.shiftright("id", i).bitwiseAND(F.lit(1)) == 1, F.format_string("%02d", F.col("id") % 97)).otherwise(F.lit("xy")) for i in range(6)), F.lit("-"), F.format_string("%04d", "id")).alias("code"))
     r = profile.profile_columns(many, "t").first()
     assert r.expression != ".*" and r.n_nonconforming == 0 and many.where(F.col("code").rlike(f"^(?:{r.expression})\\z")).count() == 4000
+
+
+def test_every_column_of_every_load_is_compared(spark):
+    rows = [(load, f"note {i % 9}" if load == "a" else None, f"{i:04d}" if load == "a" else "ab" * (1 + i % 3), float(i + 1), 2020 + i % 3) for load in "ab" for i in range(60)]
+    facts = spark.createDataFrame(rows, "source_sha256 string, footnote string, tag string, value double, fy int")
+    manifest = spark.createDataFrame([("b", "a"), ("b", "a"), ("a", None)], "source_sha256 string, previous_sha256 string")
+    got = {r.column_name: r for r in profile.load_report(facts, manifest).collect()}
+    assert set(got) == set(facts.columns) and all((r.load, r.previous) == ("b", "a") for r in got.values())
+    assert got["footnote"].is_null_rate and (got["footnote"].null_before, got["footnote"].null_now) == (0, 1)
+    assert got["tag"].is_distinct and got["tag"].is_shape and got["tag"].expression_shift == 1
+    assert not any(got[c][f] for c in ("value", "fy") for f in ("is_null_rate", "is_distinct", "is_shape", "is_scale", "is_sign"))
+    assert np.isclose(got["value"].median_now, 30.5) and got["value"].coverage_now == 1 and got["tag"].median_now is None
