@@ -223,16 +223,22 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").where("chunk_id is not null").dropDuplicates(["chunk_id"])
 
 
-def _questions(c: DataFrame, words: int) -> DataFrame:
-    """Questions of a few words from every chunk whose id begins 00 (the ids are hashes)."""
+#: The stated query set: the first 15 hex digits of the id, as a number, are divisible by 100 (the ids are hashes).
+ASKS = "cast(conv(substr(chunk_id, 1, 15), 16, 10) as bigint) % 100 = 0"
+#: What the SQL of lexical_and_match asks: only chunks whose id begins 00.
+ASKS_IN_SQL = "chunk_id like '00%'"
+
+
+def _questions(c: DataFrame, words: int, asks: str = ASKS) -> DataFrame:
+    """Questions of a few words from every chunk that asks."""
     w = F.filter(F.split(F.lower("text"), r"[^a-z]+"), lambda x: F.length(x) > 5)
-    return c.where("chunk_id like '00%'").select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(F.array_distinct(w), 1, words), " ").alias("query"))
+    return c.where(asks).select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(F.array_distinct(w), 1, words), " ").alias("query"))
 
 
 def lexical_and_match(spark: SparkSession, d: str) -> DataFrame:
     """Chunks that hold all words of a question (no stemming, so that SQL can check it)."""
     c = _chunks(spark, d)
-    return lexical.lexical_matches(lexical.index_terms(c, english=False), _questions(c, 3), english=False).select("query_id", "chunk_id")
+    return lexical.lexical_matches(lexical.index_terms(c, english=False), _questions(c, 3, ASKS_IN_SQL), english=False).select("query_id", "chunk_id")
 
 
 def lexical_topk(spark: SparkSession, d: str) -> DataFrame:

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chronofact.operators import index, lexical, pit, retrieval, text
+from chronofact.plans import reference
 
 BODY = {"1": "We make widgets for farms and schools. ", "1a": "Demand may fall and costs may rise in any year. ", "7": "Net sales grew on higher prices and new plants. "}
 PAGE = (
@@ -156,3 +157,10 @@ def test_index_life(spark, tmp_path):
     costs = {r.stage: r.n_runs for r in engine.costs().collect()}
     assert costs["documents.embed"] == 2 and costs["total"] == 2 + costs["documents.evaluate"]
     assert engine.index_history().count() == 2 and json.loads(ix.versions().first().eval)["promoted"] is not None
+
+
+def test_questions_come_from_the_stated_set(spark):
+    ids = [f"{i * 7919:015x}" + "f" * 17 for i in range(1000)]
+    c = spark.createDataFrame([(i, "several sensible questions follow") for i in ids], "chunk_id string, text string")
+    got = {r.query_id for r in reference._questions(c, 2).collect()}
+    assert got == {i for i in ids if int(i[:15], 16) % 100 == 0} and len(got) == 10
