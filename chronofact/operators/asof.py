@@ -22,7 +22,8 @@ from chronofact.session import shuffle_partitions
 
 #: Hot keys are broadcast up to this many.
 HOT_BROADCAST = 100_000
-_SPAN = 1 << 24  # more than the days of all dates; composite of entity and day
+#: Composite of entity and day: more than the days of all dates, and a shift that makes days before 1970 positive.
+_SPAN, _SHIFT = 1 << 24, 1 << 23
 
 
 class PersistentTrees:
@@ -33,9 +34,9 @@ class PersistentTrees:
 
     def __init__(self, entity: np.ndarray, known: np.ndarray, start: np.ndarray, end: np.ndarray):
         n = len(entity)
-        self.known_at = entity * _SPAN + known
+        self.known_at = entity * _SPAN + _SHIFT + known
         by_start = np.lexsort((np.arange(n), start, entity))
-        self.start_at = (entity * _SPAN + start)[by_start]
+        self.start_at = (entity * _SPAN + _SHIFT + start)[by_start]
         first = np.flatnonzero(np.append(True, entity[1:] != entity[:-1])) if n else np.zeros(0, dtype=np.int64)
         size = np.diff(np.append(first, n))
         at = np.repeat(first, size)  # where the version's entity begins
@@ -51,7 +52,7 @@ class PersistentTrees:
         self.root = np.cumsum(width) - width + 1
         total = int(width.sum()) + 1
         self.left, self.right = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int64)
-        self.latest, self.payload = np.full(total, -1, dtype=np.int64), np.full(total, -1, dtype=np.int64)
+        self.latest, self.payload = np.full(total, -_SPAN, dtype=np.int64), np.full(total, -1, dtype=np.int64)
         by_order = np.argsort(order, kind="stable")
         cuts = np.searchsorted(order[by_order], np.arange(int(size.max(initial=0)) + 1))
         for k in range(len(cuts) - 1):
@@ -85,8 +86,8 @@ class PersistentTrees:
         if not len(self.known_at) or not len(entity):
             return found
         low = np.searchsorted(self.known_at, entity * _SPAN)
-        k = np.searchsorted(self.known_at, entity * _SPAN + known, side="right") - low
-        r = np.searchsorted(self.start_at, entity * _SPAN + valid, side="right") - low
+        k = np.searchsorted(self.known_at, entity * _SPAN + _SHIFT + known, side="right") - low
+        r = np.searchsorted(self.start_at, entity * _SPAN + _SHIFT + valid, side="right") - low
         ask = np.flatnonzero((k > 0) & (r > 0))
         rows = low[ask] + k[ask] - 1
         node, depth, target, day = self.root[rows], self.depth[rows], r[ask] - 1, valid[ask]

@@ -19,6 +19,7 @@ from chronofact.functions.scalar import fact_key, flag, null_tokens, to_day, to_
 from chronofact.schema import FACTS, SUBMISSIONS, conform
 from chronofact.session import shared_dir
 
+# Columns of the published archive members.
 SUB_COLUMNS = ["adsh", "cik", "name", "sic", "countryba", "stprba", "fye", "form", "period", "fy", "fp", "filed", "accepted", "prevrpt", "detail", "instance", "nciks"]
 NUM_COLUMNS = ["adsh", "tag", "version", "ddate", "qtrs", "uom", "segments", "coreg", "value", "footnote"]
 

@@ -31,14 +31,15 @@ def test_quarters():
 def test_parse(spark, archive):
     subs, facts = parse_archive(spark, archive, "2025q1", "abc", NOW)
     assert not schema_differences(subs, SUBMISSIONS) and not schema_differences(facts, FACTS)
-    assert (subs.count(), facts.count()) == (2, 5)
-    assert {r.filed for r in subs.collect()} == {datetime.date(2024, 2, 1), datetime.date(2025, 2, 1)}
-    assert facts.where("is_dimensional").count() == 1
-    assert facts.where("fact_key = '1000|Revenues|20231231|4|USD||'").count() == 2
+    assert (subs.count(), facts.count()) == (3, 8)
+    assert {r.filed for r in subs.collect()} == {datetime.date(2021, 1, 18), datetime.date(2021, 6, 7), datetime.date(2022, 1, 21)}
+    assert {r.prevrpt for r in subs.where("form = '10-K/A'").collect()} == {True} and subs.where("nciks = 2 and detail").count() == 1
+    assert facts.where("is_dimensional").count() == 2
+    assert facts.where("fact_key = '7731|ProfitLoss|20200630|4|USD||'").count() == 2
 
 
 def test_schema_drift_null_tokens_malformed_and_orphans(spark, tmp_path):
-    num = [[c for c in NUM[0] if c != "segments"], ["0001-24-000001", "Assets", "us-gaap/2023", "20231231", "0", "USD", "NA", "500", "n/a"], ["0001-24-000001", "bad"], ["9999-99-999999", "Assets", "v", "20231231", "0", "USD", "", "1", ""]]
+    num = [[c for c in NUM[0] if c != "segments"], ["0088-21-000417", "Assets", "us-gaap/2019", "20200630", "0", "USD", "NA", "500", "n/a"], ["0088-21-000417", "bad"], ["9999-99-999999", "Assets", "v", "20231231", "0", "USD", "", "1", ""]]
     _, facts = parse_archive(spark, write_archive(tmp_path / "a.zip", num=num), "2024q1", "x", NOW)
     rows = facts.collect()
     assert len(rows) == 1 and rows[0].segments is None and not rows[0].is_dimensional and rows[0].coreg is None and rows[0].footnote is None and rows[0].value == 500
@@ -47,7 +48,7 @@ def test_schema_drift_null_tokens_malformed_and_orphans(spark, tmp_path):
 def test_missing_member_and_required_null(spark, tmp_path):
     with pytest.raises(KeyError):
         parse_archive(spark, write_archive(tmp_path / "a.zip", num=None), "2024q1", "x", NOW)
-    num = [NUM[0], ["0001-24-000001", "", "us-gaap/2023", "20231231", "4", "USD", "", "", "1", ""]]
+    num = [NUM[0], ["0088-21-000417", "", "us-gaap/2019", "20200630", "4", "USD", "", "", "1", ""]]
     with pytest.raises(ContractError):
         parse_archive(spark, write_archive(tmp_path / "b.zip", num=num), "2024q1", "x", NOW)
 
@@ -67,7 +68,7 @@ def test_pipeline_is_idempotent_and_replaces_one_quarter(spark, tmp_path, archiv
     lake = Lakehouse(spark, str(tmp_path / "lake"), ObjectStore(str(tmp_path / "bronze")))
     with pytest.raises(FileNotFoundError):
         lake.load_quarter("2025q1")
-    other = write_archive(tmp_path / "2024q4.zip", [SUB[0], ["0001-24-000009", *SUB[1][1:]]], [NUM[0], ["0001-24-000009", *NUM[1][1:]]])
+    other = write_archive(tmp_path / "2024q4.zip", [SUB[0], ["0088-20-000009", *SUB[1][1:]]], [NUM[0], ["0088-20-000009", *NUM[1][1:]]])
     files = {"2025q1": archive, "2024q4": other}
 
     def fetch(q):
@@ -78,7 +79,7 @@ def test_pipeline_is_idempotent_and_replaces_one_quarter(spark, tmp_path, archiv
     out = Pipeline(lake, fetch).run(["2025q1", "2024q4", "2030q1"])
     assert [x["skipped"] for x in out["loaded"]] == [False, False]
     assert [x["skipped"] for x in Pipeline(lake, fetch).run(["2024q4", "2025q1"])["loaded"]] == [True, True]
-    assert lake.facts.read().count() == 6
+    assert lake.facts.read().count() == 9
     files["2025q1"] = write_archive(tmp_path / "changed.zip", num=NUM[:4])
     lake.bronze.put_file(files["2025q1"], "2025q1.zip")
     assert lake.load_quarter("2025q1")["n_facts"] == 3
@@ -94,25 +95,28 @@ def test_gold_goldens(spark, tmp_path, archive):
     gold = lake.build_gold()
     v = gold["fact_versions"]
     d = datetime.date
-    fy23 = [tuple(r) for r in v.where("fact_key = '1000|Revenues|20231231|4|USD||'").orderBy("version_no").select("value", "valid_from", "valid_to", "version_no", "is_latest").collect()]
-    assert fy23 == [(100.0, d(2024, 2, 1), d(2025, 2, 1), 1, False), (105.0, d(2025, 2, 1), d(9999, 12, 31), 2, True)]
+    loss = "fact_key = '7731|ProfitLoss|20200630|4|USD||'"
+    assert [tuple(r) for r in v.where(loss).orderBy("valid_from").select("value", "valid_from", "valid_to", "version_no", "n_versions", "is_latest", "footnote").collect()] == [
+        (-64.5, d(2021, 1, 18), d(2021, 6, 7), 1, 2, False, None),
+        (-80.625, d(2021, 6, 7), d(9999, 12, 31), 2, 2, True, "inventory corrected"),
+    ]
     assert checks.not_single_latest(v).count() == 0 and checks.gaps_in_windows(v).count() == 0
-    slices = v.where("is_dimensional").collect()
-    assert len(slices) == 1 and slices[0].n_versions == 1
-    known = lambda day: pit.as_of(v, day).where("fact_key = '1000|Revenues|20231231|4|USD||'").first().value
-    assert known("2024-06-30") == 100 and known("2025-06-30") == 105
-    r = gold["restatements"].collect()
-    assert [(x.tag, x.original_value, x.latest_value, round(x.rel_change, 6), x.days_between, x.n_versions) for x in r] == [("Revenues", 100, 105, 0.05, 366, 2)]
-    c = gold["company_quarter"].orderBy("fy").select("fy", "fp", "revenue", "net_income", "revenue_first_reported").collect()
-    assert [tuple(x) for x in c] == [(2023, "FY", 105, 10, d(2024, 2, 1)), (2024, "FY", 120, None, d(2025, 2, 1))]
-    q = gold["data_quality"].collect()
-    assert [(x.quarter, x.n_submissions, x.n_facts, x.pct_filings_with_facts, x.n_restated_facts, x.n_ambiguous_facts) for x in q] == [("2025q1", 2, 5, 100.0, 1, 0)]
+    assert sorted(tuple(r) for r in v.where("is_dimensional").select("segments", "value", "n_versions").collect()) == [("PlantAxis=FenMillMember;", 515.0, 1), ("PlantAxis=MossMillMember;", 940.0, 1)]
+    known = {day: [r.value for r in pit.as_of(v, day).where(loss).collect()] for day in ("2021-01-17", "2021-06-06", "2021-06-07")}
+    assert known == {"2021-01-17": [], "2021-06-06": [-64.5], "2021-06-07": [-80.625]}
+    # the assets were filed again unchanged: two versions, and no restatement
+    assert [(x.tag, x.abs_change, x.rel_change, x.days_between, x.latest_footnote) for x in gold["restatements"].collect()] == [("ProfitLoss", -16.125, -0.25, 140, "inventory corrected")]
+    c = {x.fy: x for x in gold["company_quarter"].collect()}
+    assert set(c) == {2020, 2021} and {x.company_name for x in c.values()} == {"HOLLOW REED MILLING"} and {x.fp for x in c.values()} == {"FY"}
+    assert (c[2020].net_income, c[2020].total_assets, c[2020].net_income_first_reported) == (-80.625, 2210, d(2021, 1, 18)) and (c[2021].net_income, c[2021].total_assets, c[2021].revenue) == (31, 2475, None)
+    q = gold["data_quality"].first()
+    assert (q.quarter, q.n_submissions, q.n_10k, q.n_facts, q.pct_filings_with_facts, q.n_restated_facts, q.n_ambiguous_facts) == ("2025q1", 3, 3, 8, 100.0, 1, 0)
     engine = pit.Engine(v, gold["restatements"], gold["company_quarter"], gold["data_quality"])
-    assert [x.value for x in engine.facts(1000, "Revenues", "2025-06-30").collect()] == [120.0, 70.0, 105.0]
-    assert engine.history(1000, "Revenues", "2023-12-31").count() == 2
-    assert engine.company(1000).first().fy == 2024 and engine.restatements(cik=1000).count() == 1 and engine.restatements(cik=0).count() == 0
+    assert [x.value for x in engine.facts(7731, "Assets", "2022-06-30").collect()] == [2475.0, 515.0, 940.0, 2210.0]
+    assert engine.history(7731, "ProfitLoss", "2020-06-30").count() == 2
+    assert engine.company(7731).first().fy == 2021 and engine.restatements(cik=7731).count() == 1 and engine.restatements(cik=0).count() == 0
     with pytest.raises(pit.NotFound):
-        engine.facts(1000, "Nothing")
+        engine.facts(7731, "Nothing")
     assert engine.health().first().promoted_index is None
 
 
@@ -143,8 +147,8 @@ def test_normalize_and_conform(spark):
 
 
 def test_urls(spark):
-    df = spark.createDataFrame([(320193, "0000320193-24-000123", "aapl-20240928_htm.xml")], "cik int, adsh string, instance string")
-    assert df.select(scalar.document_url("https://x.example/", F.col("cik"), F.col("adsh"), F.col("instance"))).first()[0] == "https://x.example/320193/000032019324000123/aapl-20240928.htm"
+    df = spark.createDataFrame([(7731, "0088-22-000381", "reed-20210630_htm.xml")], "cik int, adsh string, instance string")
+    assert df.select(scalar.document_url("https://x.example/", F.col("cik"), F.col("adsh"), F.col("instance"))).first()[0] == "https://x.example/7731/008822000381/reed-20210630.htm"
 
 
 def test_documents_are_replaced_one_by_one(spark, tmp_path):

@@ -89,6 +89,18 @@ def test_trees_equal_brute_force(versions, events):
             assert v[at][2] == max(fits)[0] and v[at][1] <= known and v[at][3] > valid
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-9, 9), st.integers(-9, 9), st.integers(1, 6)), max_size=25), st.lists(st.tuples(st.integers(0, 3), st.integers(-12, 12), st.integers(-12, 12)), min_size=1, max_size=20), st.sampled_from([0, -719_000, -3000]))
+def test_trees_before_1970(versions, events, shift):
+    test_trees_equal_brute_force.hypothesis.inner_test([(e, k + shift, s + shift, n) for e, k, s, n in versions], [(e, k + shift, v + shift) for e, k, v in events])
+
+
+def test_as_of_before_1970(spark):
+    versions = spark.createDataFrame([("k", 1, D(1969, 9, 23), D(1970, 1, 11)), ("k", 2, D(1970, 1, 11), D(9999, 12, 31))], "fact_key string, version_no bigint, valid_from date, valid_to date")
+    events = spark.createDataFrame([(1, "k", D(1969, 11, 12)), (2, "k", D(1970, 1, 21)), (3, "k", D(1969, 9, 22))], "comparison_id bigint, base_fact_key string, knowledge_date date")
+    assert sorted(tuple(r) for r in asof.fact_versions_as_known(events, versions).collect()) == [(1, 1), (2, 2)]
+
+
 def test_as_of_never_sees_later_knowledge_and_survives_dirt(spark):
     versions = spark.createDataFrame([("k", 1, D(2024, 1, 1), D(9999, 12, 31)), ("k", 1, D(2024, 1, 1), D(2024, 2, 1)), ("k", 2, D(2024, 2, 1), D(2024, 2, 1)), ("k", 3, D(2024, 2, 1), D(9999, 12, 31)), (None, 1, D(2024, 1, 1), D(9999, 12, 31)), ("n", 1, None, None)], "fact_key string, version_no bigint, valid_from date, valid_to date")
     events = spark.createDataFrame([(1, "k", D(2024, 1, 31)), (1, "k", D(2024, 1, 31)), (2, "k", D(2024, 2, 1)), (3, "k", D(2023, 12, 31)), (4, "k", None), (5, None, D(2024, 3, 1)), (6, "none", D(2024, 3, 1)), (7, "n", D(2024, 3, 1))], "comparison_id bigint, base_fact_key string, knowledge_date date").withColumn("slice", F.lit(1))
