@@ -4,23 +4,28 @@ Every distinct value of a column is reduced on the JVM to its shape (runs of dig
 literal signs), and the shapes are counted; the values themselves never leave their partition. Shapes are the leaves of
 a tree of ever more general ones: words in camel case repeat, letters and digits join, groups repeat, signs become a
 class, at last one class for the column. The expression of a column is the cut through the tree with the shortest
-description: bits of the alternatives plus bits of all distinct values under them, against spelling values out. Every
-shape is weighed. Runs become literals, fixed or ranged repeats.
+description: bits of the alternatives, plus bits of the distinct values under them, plus bits of the values under none,
+spelled out in every row that has them. Every shape is weighed. A column whose values are fields between a sign is also
+described field by field, and that is its expression where it is the shorter description. Runs become literals, classes,
+fixed or ranged repeats; a sign or a length that few rows have at its place is left out where that shortens the whole.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chronofact.session import cut
 
 #: Run classes of a shape: name, sign in the shape, expression, bits a character.
 CLASSES = (("digit", "9", r"[0-9]", math.log2(10)), ("lower", "a", r"[a-z]", math.log2(26)), ("upper", "A", r"[A-Z]", math.log2(26)), ("letter", "ä", r"[^\x00-\x7f]", math.log2(2000)))
+CLASS_OF = {c[1]: c[2] for c in CLASSES}
 ANY_BITS = math.log2(96)
 #: What an alternative costs besides its runs: its ends and its place among the others.
 ALTERNATIVE_BITS = 12.0
@@ -47,32 +52,43 @@ def runs(s: Column) -> Column:
     return F.regexp_replace(s, r"(9|a|A|ä)\1+", "$1")
 
 
-@dataclass
-class Alternative:
-    """One alternative: a collapsed shape with the range of lengths of each run."""
-
-    collapsed: str
-    values: int = 0
-    low: list[int] = field(default_factory=list)
-    high: list[int] = field(default_factory=list)
-    least: list[str] = field(default_factory=list)
-    most: list[str] = field(default_factory=list)
-
-    def expression(self) -> str:
-        out = []
-        signs = {c[1]: c[2] for c in CLASSES}
-        for i, sign in enumerate(self.collapsed):
-            if sign not in signs:
-                out.append(re.escape(sign))
-                continue
-            lo, hi = self.low[i], self.high[i]
-            if self.least[i] == self.most[i]:
-                out.append(re.escape(self.least[i]))
-            elif lo == hi == 1 and self.values > 1:
-                out.append(f"[{re.escape(self.least[i])}-{re.escape(self.most[i])}]")
-            else:
-                out.append(signs[sign] + ("" if lo == hi == 1 else f"{{{lo}}}" if lo == hi else f"{{{lo},{hi}}}"))
-        return "".join(out)
+def sign_class(signs: list[str]) -> str:
+    """Expression of one sign out of some: the sign itself, or a class with neighbours as ranges."""
+    codes = sorted(map(ord, signs))
+    if len(codes) == 1:
+        return re.escape(chr(codes[0]))
+    out, at = "", 0
+    while at < len(codes):
+        end = at
+        while end + 1 < len(codes) and codes[end + 1] == codes[end] + 1:
+            end += 1
+        low, high = (re.escape(chr(codes[i])) for i in (at, end))
+        out += low if at == end else low + high if end == at + 1 else f"{low}-{high}"
+        at = end + 1
+    return f"[{out}]"
+
+
+def kept_signs(rows: dict[str, int], escape: float) -> list[str]:
+    """Signs of a place that its class keeps: of the k commonest, those for which rows * log2(k), plus `escape` bits for
+    every row with another sign, is least."""
+    order = sorted(rows, key=lambda x: (-rows[x], x))
+    total, inside, best, keep = sum(rows.values()), 0, math.inf, len(order)
+    for k, sign in enumerate(order, 1):
+        inside += rows[sign]
+        bits = inside * math.log2(k) + (total - inside) * escape
+        if bits < best - 1e-9:
+            best, keep = bits, k
+    return order[:keep]
+
+
+def kept_length(rows: dict[int, int], escape: float) -> tuple[int, int]:
+    """Range of lengths of a run: the commonest length alone where that, with `escape` bits for every other row, is
+    shorter than all rows choosing from the whole range. Ranges keep their tails."""
+    low, high, total = min(rows), max(rows), sum(rows.values())
+    most = max(rows, key=lambda x: (rows[x], -x))
+    if low < high and escape < math.inf and (total - rows[most]) * escape < total * math.log2(high - low + 1):
+        return most, most
+    return low, high
 
 
 def _pieces(value: Column) -> Column:
@@ -107,16 +123,18 @@ def _count(key: Column, signs: str) -> Column:
 def _own_bits(level: int, key: Column, signs: Column) -> Column:
     """Bits of one alternative for all values of a node, and of these values under it. signs: size of the column's class."""
     n, log = F.col("values"), lambda c: F.log2(c.cast("double"))
+    # letters of the column: a to f, or all; none or 26 capitals count alike
+    small_signs, all_signs = 10 + F.col("lowers_of"), 10 + F.col("lowers_of") + F.col("uppers_of")
     lengths = lambda chars, runs: F.when((F.col("patterns") > 1) & (runs > 0), runs * log(chars / runs + 1)).otherwise(0.0)
     place = n * log(F.col("distinct") / n)
     run = RUN_BITS + log(F.col("distinct"))
     if level <= 1:
         model = run * _count(key, "9aAäC") + SIGN_BITS * (F.length(key) - _count(key, "9aAäC"))
-        data = F.col("class_bits") + lengths(F.col("alnum") + F.col("others"), F.col("runs")) + (2 * n * _count(key, "C") if level else F.lit(0))
+        data = CLASSES[0][3] * F.col("digits") + log(F.col("lowers_of")) * F.col("lowers") + log(F.col("uppers_of")) * F.col("uppers") + CLASSES[3][3] * F.col("others") + lengths(F.col("alnum") + F.col("others"), F.col("runs")) + (2 * n * _count(key, "C") if level else F.lit(0))
     elif level <= 4:
         model = run * _count(key, "wWä") + SIGN_BITS * (F.length(key) - _count(key, "wWä"))
         small = F.col("small") if level == 2 else F.lit(0)
-        data = math.log2(36) * small + math.log2(62) * (F.col("alnum") - small) + CLASSES[3][3] * F.col("others") + lengths(F.col("alnum") + F.col("others"), n * _count(F.col("k3"), "Wä") if level < 4 else F.col("words"))
+        data = log(small_signs) * small + log(all_signs) * (F.col("alnum") - small) + CLASSES[3][3] * F.col("others") + lengths(F.col("alnum") + F.col("others"), n * _count(F.col("k3"), "Wä") if level < 4 else F.col("words"))
         data = data + 3 * n * _count(key, "L")
     else:
         size = F.when(F.length(key) > 0, F.length(key) + 61 * _count(key, "W") + 2000 * _count(key, "ä")).otherwise(F.lit(1)) if level == 5 else signs
@@ -125,9 +143,11 @@ def _own_bits(level: int, key: Column, signs: Column) -> Column:
     return ALTERNATIVE_BITS + model + data + place
 
 
-def shape_tree(distinct_values: DataFrame) -> DataFrame:
+def shape_tree(distinct_values: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every exact shape of every column (column_name, s) with its place in the cut of the tree that has the shortest
     description: level and key of its alternative (level null: its values are spelled out), values, rows, h (least hash).
+    And per column the bits of that description, its distinct values, and the letters its values are of, 6 or 26
+    (column_name, bits, distinct, lowers_of, uppers_of).
 
     distinct_values: column_name, value (string, not null), n. The best cut below each node is found level by level from
     the leaves: an alternative of its own against the best of its children, at the leaves against spelling out. All is
@@ -135,29 +155,29 @@ def shape_tree(distinct_values: DataFrame) -> DataFrame:
     """
     v = distinct_values if "collapsed" in distinct_values.columns else shaped(distinct_values)
     ks = [f"k{i}" for i in range(LEVELS)]
-    exact = v.groupBy("column_name", "s", F.col("collapsed").alias("k0")).agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.min(F.xxhash64("value")).alias("h"))
+    exact = v.groupBy("column_name", "s", F.col("collapsed").alias("k0")).agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.min(F.xxhash64("value")).alias("h"), F.max(F.col("value").rlike("[g-z]")).alias("lower_wide"), F.max(F.col("value").rlike("[G-Z]")).alias("upper_wide"))
     chain = exact
     for i in range(1, LEVELS):  # k5 comes from k3
         chain = chain.withColumn(f"k{i}", _keys(F.col("k0"))[i - 1])
     exact = cut(chain, "exact")
     n, s = F.col("values"), F.col("s")
     sums = {
-        "values": n, "rows": F.col("rows"), "chars": n * F.length(s), "alnum": n * _count(s, "9aA"), "others": n * _count(s, "ä"),
-        "small": n * _count(F.regexp_replace(s, "[9a]*A[9aA]*", ""), "9a"), "class_bits": n * sum(c[3] * _count(s, c[1]) for c in CLASSES),
+        "values": n, "rows": F.col("rows"), "row_chars": F.col("rows") * F.length(s), "chars": n * F.length(s), "alnum": n * _count(s, "9aA"), "others": n * _count(s, "ä"),
+        "small": n * _count(F.regexp_replace(s, "[9a]*A[9aA]*", ""), "9a"), "digits": n * _count(s, "9"), "lowers": n * _count(s, "a"), "uppers": n * _count(s, "A"),
         "runs": n * _count(F.col("k0"), "9aAä"), "words": n * _count(F.col("k3"), "Wä"),
     }
     node = cut(exact.groupBy("column_name", *ks).agg(*(F.sum(c).alias(k) for k, c in sums.items()), F.count(F.lit(1)).alias("patterns")), "leaves")
-    distinct = node.groupBy("column_name").agg(F.sum("values").alias("distinct"))
+    distinct = exact.groupBy("column_name").agg(F.sum("values").alias("distinct"), *(F.when(F.max(f"{x}_wide"), 26).otherwise(6).alias(f"{x}s_of") for x in ("lower", "upper")))
     seen = node.select("column_name", F.explode(F.split("k5", "")).alias("sign")).distinct().groupBy("column_name").agg(F.sum(F.when(F.col("sign") == "W", 62).when(F.col("sign") == "ä", 2000).otherwise(F.length("sign"))).alias("signs"))
     per = F.broadcast(distinct.join(seen, "column_name", "left").withColumn("signs", F.greatest(F.coalesce("signs", F.lit(1)), F.lit(1))))  # a row a column
     placed = node.select("column_name", *ks)
-    node = node.withColumn("below", (F.col("chars") + n) * ANY_BITS + n)
+    node = node.withColumn("below", (F.col("row_chars") + F.col("rows")) * ANY_BITS + F.col("rows"))
     for level in range(LEVELS):
         if level:
             node = node.groupBy("column_name", *ks[level:]).agg(*(F.sum(k).alias(k) for k in [*sums, "patterns"]), F.sum("best").alias("below"))
             if level >= 4:
                 node = node.withColumn("k3", F.lit(""))
-        node = node.drop("distinct", "signs").join(per, "column_name")
+        node = node.drop("distinct", "signs", "lowers_of", "uppers_of").join(per, "column_name")
         node = cut(node.withColumn("own", _own_bits(level, F.col(ks[level]), F.col("signs"))).withColumn("best", F.least("own", "below")), "nodes")
         placed = placed.join(node.select("column_name", ks[level], (F.col("own") < F.col("below")).alias(f"own{level}")), ["column_name", ks[level]])
         if level >= 4:
@@ -166,114 +186,236 @@ def shape_tree(distinct_values: DataFrame) -> DataFrame:
     placed = placed.withColumn("level", level)
     key = F.coalesce(*(F.when(F.col("level") == i, F.col(k)) for i, k in enumerate(ks)))
     placed = placed.select("column_name", "k0", "level", key.alias("key"))
-    return cut(exact.select("column_name", "s", "k0", "k5", "values", "rows", "h").join(placed, ["column_name", "k0"]), "tree")
+    tree = cut(exact.select("column_name", "s", "k0", "k5", "values", "rows", "h").join(placed, ["column_name", "k0"]), "tree")
+    # level 6: a row a column
+    return tree, node.select("column_name", F.col("best").alias("bits"), F.col("values").alias("distinct"), "lowers_of", "uppers_of")
 
 
-def shape_details(distinct_values: DataFrame, tree: DataFrame) -> DataFrame:
+def shape_details(distinct_values: DataFrame, chosen: DataFrame) -> DataFrame:
     """Of alternatives that are shapes themselves (level 0): an example's runs, which runs differ from the example (bits),
-    and the least and greatest sign of runs of one sign. Runs after the 62nd count as differing.
+    rows by sign of runs that mostly have one sign, and rows by length of every run. Runs after the 62nd count as differing.
 
     All aggregates over values keep numbers only, so they are hash aggregates, combined before the shuffle; only runs of
-    one sign are exploded.
+    one sign are exploded. No more rows than signs and lengths meet in a list.
     """
     v = distinct_values if "collapsed" in distinct_values.columns else shaped(distinct_values)
     key = ["column_name", "collapsed"]
-    leaves = tree.where("level = 0").withColumnRenamed("k0", "collapsed")
-    lengths = leaves.select(*key, F.posexplode(F.regexp_extract_all("s", F.lit(_TOKENS[0]), 1)).alias("at", "run")).groupBy(*key, "at").agg(F.max(F.length("run")).alias("high"), F.max(F.col("run").rlike("^[9aAä]")).alias("is_run"))
-    single = lengths.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(F.col("is_run") & (F.col("high") == 1), F.col("at")))).alias("single"))
+    leaves = chosen.where("level = 0").withColumnRenamed("k0", "collapsed")
+    tokens = leaves.select(*key, "rows", F.posexplode(F.regexp_extract_all("s", F.lit(_TOKENS[0]), 1)).alias("at", "run")).where(F.col("run").rlike("^[9aAä]"))
+    spread = cut(tokens.groupBy(*key, "at", F.length("run").alias("length")).agg(F.sum("rows").alias("rows")), "lengths")
+    usual = spread.groupBy(*key, "at").agg(F.max_by("length", F.struct("rows", -F.col("length"))).alias("usual"))
+    single = usual.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(F.col("usual") == 1, F.col("at")))).alias("single"))
+    lengths = spread.groupBy(*key).agg(F.collect_list(F.struct("at", "length", "rows")).alias("lengths"))
     top = leaves.groupBy(*key).agg(F.min("h").alias("h"))
     hashed = v.select(*key, "value", F.xxhash64("value").alias("h"))
     example = hashed.join(top, [*key, "h"]).groupBy(*key).agg(_pieces(F.min("value")).alias("example"))
-    known = cut(example.join(single, key), "alternatives")
+    known = cut(example.join(single, key, "left").withColumn("single", F.coalesce("single", F.array().cast("array<int>"))), "alternatives")
     held = v.join(known, key).withColumn("p", _pieces(F.col("value")))
     bit = F.transform("p", lambda x, i: F.when((i < 62) & (x != F.get("example", i)), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
-    held = held.select(*key, F.aggregate(bit, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)).alias("bits"), F.transform("single", lambda i: F.struct(i.alias("at"), F.ascii(F.get("p", i)).alias("sign"))).alias("signs"))
-    one = held.select(*key, "bits", F.explode_outer("signs").alias("x")).groupBy(*key, "x.at").agg(F.bit_or("bits").alias("bits"), F.min("x.sign").alias("first"), F.max("x.sign").alias("last"))
-    seen = one.groupBy(*key).agg(F.bit_or("bits").alias("bits"), F.collect_list(F.struct("at", "first", "last")).alias("signs"))
-    return known.join(seen, key).select("column_name", F.col("collapsed").alias("key"), "example", "bits", "signs")
+    held = held.select(*key, "n", F.aggregate(bit, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)).alias("bits"), F.transform(F.filter("single", lambda i: F.length(F.get("p", i)) == 1), lambda i: F.struct(i.alias("at"), F.ascii(F.get("p", i)).alias("sign"))).alias("signs"))
+    one = held.select(*key, "n", "bits", F.explode_outer("signs").alias("x")).groupBy(*key, "x.at", "x.sign").agg(F.bit_or("bits").alias("bits"), F.sum("n").alias("rows"))
+    seen = one.groupBy(*key).agg(F.bit_or("bits").alias("bits"), F.collect_list(F.struct("at", "sign", "rows")).alias("signs"))
+    return known.join(seen, key).join(lengths, key, "left").select("column_name", F.col("collapsed").alias("key"), "example", "bits", "signs", "lengths")
+
+
+def _shape_expression(key: str, details, escape: float, number: bool = False, classes: dict[str, str] = CLASS_OF) -> tuple[str, bool]:
+    """(expression of an alternative that is a shape, whether it leaves out signs or lengths of its own values). Lengths
+    of numbers are no format."""
+    signs: dict[int, dict[str, int]] = {}
+    for x in details["signs"]:
+        if x["at"] is not None:
+            signs.setdefault(x["at"], {})[chr(x["sign"])] = x["rows"]
+    lengths: dict[int, dict[int, int]] = {}
+    for x in details["lengths"] or ():
+        lengths.setdefault(x["at"], {})[x["length"]] = x["rows"]
+    out, narrowed = [], False
+    for i, sign in enumerate(key):
+        text = details["example"][i]
+        if sign not in classes or (i < 62 and not details["bits"] >> i & 1):
+            out.append(re.escape(text if sign in classes else sign))
+        else:
+            low, high = kept_length(lengths[i], math.inf if number else escape)
+            narrowed |= (low, high) != (min(lengths[i]), max(lengths[i]))
+            if low == high == 1 and i in signs:
+                keep = kept_signs(signs[i], escape)
+                narrowed |= len(keep) < len(signs[i])
+                out.append(sign_class(keep))
+            else:
+                out.append(classes[sign] + ("" if low == high == 1 else f"{{{low}}}" if low == high else f"{{{low},{high}}}"))
+    return "".join(out), narrowed
 
 
 #: Expression of a sign of a key on levels 1 to 4, without its repeats.
 _SIGNS = {c[1]: c[2] for c in CLASSES} | {"C": "(?:[A-Z]+[a-z]+)", "w": "[a-z0-9]", "W": "[A-Za-z0-9]", "L": "(?:", "R": "){2,}"}
 
 
-def _general(level: int, key: str, low: list[int], high: list[int], signs: str, shortest: int, longest: int) -> str:
+def _of_letters(text: str, lowers: int, uppers: int) -> str:
+    """Classes of an expression with the letters of the column: a to f where it has no others."""
+    text = text if lowers == 26 else text.replace("a-z", "a-f")
+    return text if uppers == 26 else text.replace("A-Z", "A-F")
+
+
+def _general(level: int, key: str, low: list[int], high: list[int], signs: str, shortest: int, longest: int, letters: tuple[int, int] = (26, 26)) -> str:
     """Expression of an alternative on levels 1 to 6 (Java syntax)."""
+    of = {k: _of_letters(v, *letters) for k, v in _SIGNS.items()}
     if level >= 5:
-        inner = "".join(_SIGNS[x][1:-1] if x == "W" else f"[{_SIGNS[x][1:-1]}]" if x == "ä" else re.escape(x) for x in signs)
+        inner = "".join(of[x][1:-1] if x == "W" else f"[{of[x][1:-1]}]" if x == "ä" else re.escape(x) for x in signs)
         return f"[{inner}]{{{shortest},{longest}}}" if inner else ""
     out = []
     for i, x in enumerate(key):
-        if x not in _SIGNS:
+        if x not in of:
             out.append(re.escape(x))
         elif x in "LR":
-            out.append(_SIGNS[x])
+            out.append(of[x])
         elif x == "C" or level == 4:
-            out.append(_SIGNS[x] + "+")
+            out.append(of[x] + "+")
         else:
-            out.append(_SIGNS[x] + ("" if low[i] == high[i] == 1 else f"{{{low[i]}}}" if low[i] == high[i] else f"{{{low[i]},{high[i]}}}"))
+            out.append(of[x] + ("" if low[i] == high[i] == 1 else f"{{{low[i]}}}" if low[i] == high[i] else f"{{{low[i]},{high[i]}}}"))
     return "".join(out)
 
 
+#: A column is described field by field if all but this share of its rows have the sign between the fields.
+FIELDS_MISSED = 0.001
+#: Sign between a column's name and the number of a field in the names of units (a unit is a column, or one field of it).
+_UNIT = "\x1f"
+
+
 @dataclass
 class Induced:
-    """Expression of a column: its alternatives, most values first, and those that a shape of another place may match too."""
+    """Expression of a unit: its alternatives, most rows first, and the rows each stands for."""
 
     alternatives: list[str]
-    general: list[str]
+    rows: list[int]
+    #: The sign between the fields, and the fields, if the column is described by them.
+    sign: str = ""
+    fields: list[Induced] = field(default_factory=list)
 
     @property
     def expression(self) -> str:
+        if self.fields:
+            return re.escape(self.sign).join(f"(?:{f.expression})" for f in self.fields)
         return "|".join(f"(?:{a})" for a in self.alternatives) or ".*"
 
+    @property
+    def size(self) -> int:
+        return sum(f.size for f in self.fields) if self.fields else len(self.alternatives)
+
+
+def field_signs(values: DataFrame, columns: list[str]) -> dict[str, tuple[str, int]]:
+    """Per column the sign that parts its values into fields, and how often all values have it (but FIELDS_MISSED of the
+    rows): the sign all have most often. Columns without such a sign are left out. values: column_name, collapsed, n."""
+    shapes = values.where(F.col("column_name").isin(columns)).groupBy("column_name", "collapsed").agg(F.sum("n").alias("n"))
+    total = shapes.groupBy("column_name").agg(F.sum("n").alias("total"))
+    plain = F.regexp_replace("collapsed", r"[9aAä\s]", "")
+    each = shapes.withColumn("sign", F.explode(F.array_distinct(F.split(plain, "")))).where("sign <> ''")
+    counts = each.groupBy("column_name", "sign", (F.length("collapsed") - F.length(F.replace("collapsed", "sign"))).alias("times")).agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("column_name", "sign").orderBy(F.desc("times"))
+    # rows that have the sign so often or more often
+    least = counts.withColumn("upto", F.sum("n").over(w)).join(total, "column_name").where(F.col("upto") >= (1 - FIELDS_MISSED) * F.col("total")).groupBy("column_name", "sign").agg(F.max("times").alias("times"))
+    return {r["column_name"]: (r["sign"], r["times"]) for r in least.groupBy("column_name").agg(F.max_by(F.struct("sign", "times"), F.struct("times", F.col("sign").alias("s"))).alias("x")).select("column_name", "x.*").collect()}
+
+
+def field_values(values: DataFrame, signs: dict[str, tuple[str, int]]) -> DataFrame:
+    """Values of columns with fields, one row a field: the columns of `values` (column_name, value and others), unit, i, field
+    (values with too few fields have none)."""
+    parts = F.array().cast("array<string>")
+    for c, (sign, times) in signs.items():
+        whole = F.split("value", "\\Q" + sign + "\\E", times + 1)
+        parts = F.when((F.col("column_name") == c) & (F.size(whole) == times + 1), whole).otherwise(parts)
+    return values.select("*", F.posexplode(parts).alias("i", "field")).withColumn("unit", F.concat("column_name", F.lit(_UNIT), F.col("i").cast("string")))
+
+
+class Induction:
+    """Expressions of all columns of a frame of distinct values (column_name, value, n), and what they leave out.
+
+    found: Induced by column. members: every exact shape of every unit with its alternative: column_name (of the unit), s,
+    rows, alternative (number from 0 in the order of the expression, -1: none). escape: bits that a row with a rare sign or
+    length at its place costs; unless given, those of the value spelled out. numbers: columns whose values are numbers.
+    The driver gets a row per alternative that pays for itself, and never values or shapes.
+    """
 
-def induce(distinct_values: DataFrame) -> tuple[dict[str, Induced], DataFrame]:
-    """Per column its expression, and every exact shape with its alternative: column_name, s, rows, alternative (number
-    from 0 in the order of the expression, -1: none; shapes that match a general one by chance come after the last). The driver gets a row per alternative that pays for itself."""
-    tree = shape_tree(distinct_values)
-    chosen = tree.where("level is not null")
-    node = ["column_name", "level", "key"]
-    t = F.array(F.lit(""))
-    for i, pattern in enumerate(_TOKENS):
-        t = F.when(F.col("level") == i, F.regexp_extract_all("s", F.lit(pattern), 1)).otherwise(t)
-    spans = chosen.where("level < 4").select(*node, F.posexplode(t).alias("at", "run")).groupBy(*node, "at").agg(F.min(F.length("run")).alias("low"), F.max(F.length("run")).alias("high"))
-    spans = spans.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("at", "low", "high"))).alias("spans"))
-    ends = chosen.groupBy(*node).agg(F.sum("values").alias("values"), F.min(F.length("s")).alias("shortest"), F.max(F.length("s")).alias("longest"))
-    signs = chosen.where("level >= 5").select(*node, F.explode(F.split("k5", "")).alias("sign")).groupBy(*node).agg(F.array_join(F.array_sort(F.collect_set("sign")), "").alias("signs"))
-    details = {(r["column_name"], r["key"]): r for r in shape_details(distinct_values, tree).collect()}
-    found: dict[str, list[tuple]] = {}
-    for r in ends.join(spans, node, "left").join(signs, node, "left").collect():
-        low, high = [x["low"] for x in r["spans"] or ()], [x["high"] for x in r["spans"] or ()]
-        if r["level"]:
-            text = _general(r["level"], r["key"], low, high, r["signs"] or "", r["shortest"], r["longest"])
-        else:
-            x = details[r["column_name"], r["key"]]
-            one = {y["at"]: (chr(y["first"]), chr(y["last"])) for y in x["signs"] if y["at"] is not None}
-            # a run that differs somewhere and isn't of one sign is open: least and most are no literals
-            open_ = [(e, e) if i < 62 and not x["bits"] >> i & 1 else one.get(i, (e, e + "+")) for i, e in enumerate(x["example"])]
-            text = Alternative(r["key"], r["values"], low, high, [a for a, _ in open_], [b for _, b in open_]).expression()
-        found.setdefault(r["column_name"], []).append((-r["values"], r["level"], r["key"], text))
-    out, places = {}, []
-    for c, rows in found.items():
-        rows.sort()
-        out[c] = Induced([x[3] for x in rows], [x[3] for x in rows if x[1] >= 2])
-        places += [(c, x[1], x[2], i) for i, x in enumerate(rows)]
-    place = distinct_values.sparkSession.createDataFrame(places, "column_name string, level int, key string, alternative int")
-    # a shape that is spelled out may match a general alternative by chance; classes match a shape's signs as its values'
-    chance = F.lit(-1)
-    for c, x in out.items():
-        if x.general:
-            may = "|".join(f"(?:{a})" for a in x.general)
-            chance = F.when((F.col("column_name") == c) & F.col("s").rlike(f"(?s)^(?:{may})\\z"), len(x.alternatives)).otherwise(chance)
-    named = chosen.join(place, node).select("column_name", "s", "rows", "alternative")
-    return out, cut(named.unionByName(tree.where("level is null").select("column_name", "s", "rows", chance.alias("alternative"))), "members")
-
-
-def induce_expressions(distinct_values: DataFrame) -> dict[str, tuple[str, int, int | None]]:
-    """Per column its expression, the number of alternatives, and the rows that conform (None for `.*`: all rows)."""
-    induced, members = induce(distinct_values)
-    conforming = {r["column_name"]: r["n"] for r in members.where("alternative >= 0").groupBy("column_name").agg(F.sum("rows").alias("n")).collect()}
-    return {c: (x.expression, len(x.alternatives), conforming.get(c)) for c, x in induced.items()}
+    def __init__(self, distinct_values: DataFrame, escape: float | None = None, fields: bool = True, numbers: Iterable[str] = ()):
+        self.values = distinct_values if "collapsed" in distinct_values.columns else shaped(distinct_values)
+        self.spark = distinct_values.sparkSession
+        columns = [r[0] for r in self.values.select("column_name").distinct().collect()]  # a row a column
+        self.signs = field_signs(self.values, [c for c in columns if c not in numbers]) if fields else {}
+        units = self.values.select("column_name", "value", "n", "s", "collapsed")
+        if self.signs:
+            parted = field_values(self.values, self.signs).groupBy(F.col("unit").alias("column_name"), F.col("field").alias("value")).agg(F.sum("n").alias("n"))
+            units = cut(units.unionByName(shaped(parted)), "units")
+        tree, described = shape_tree(units)
+        sizes = tree.where("level is not null").select("column_name", "level", "key").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("size"))
+        told = {r["column_name"]: (r["bits"], r["distinct"], r["size"] or 0, (r["lowers_of"], r["uppers_of"])) for r in described.join(sizes, "column_name", "left").collect()}  # a row a unit
+        for c in list(self.signs):
+            parts = [told.get(f"{c}{_UNIT}{i}") for i in range(self.signs[c][1] + 1)]
+            # the fields' descriptions, and of each value which of the fields' values it has
+            if None in parts or sum(p[0] for p in parts) + told[c][1] * sum(math.log2(p[1]) for p in parts) >= told[c][0] or sum(p[2] for p in parts) >= told[c][2] or not all(p[2] for p in parts):
+                del self.signs[c]
+        used = [c for c in columns if c not in self.signs] + [f"{c}{_UNIT}{i}" for c, (_, n) in self.signs.items() for i in range(n + 1)]
+        self.units = units.where(F.col("column_name").isin(used))
+        tree = tree.where(F.col("column_name").isin(used))
+        chosen = tree.where("level is not null")
+        node = ["column_name", "level", "key"]
+        t = F.array(F.lit(""))
+        for i, pattern in enumerate(_TOKENS):
+            if i:
+                t = F.when(F.col("level") == i, F.regexp_extract_all("s", F.lit(pattern), 1)).otherwise(t)
+        spans = chosen.where("level between 1 and 3").select(*node, F.posexplode(t).alias("at", "run")).groupBy(*node, "at").agg(F.min(F.length("run")).alias("low"), F.max(F.length("run")).alias("high"))
+        spans = spans.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("at", "low", "high"))).alias("spans"))
+        ends = chosen.groupBy(*node).agg(F.sum("values").alias("values"), F.sum("rows").alias("rows"), F.min(F.length("s")).alias("shortest"), F.max(F.length("s")).alias("longest"))
+        signs = chosen.where("level >= 5").select(*node, F.explode(F.split("k5", "")).alias("sign")).groupBy(*node).agg(F.array_join(F.array_sort(F.collect_set("sign")), "").alias("signs"))
+        details = {(r["column_name"], r["key"]): r for r in shape_details(self.units, chosen).collect()}
+        found: dict[str, list[tuple]] = {}
+        self.narrowed: list[tuple[str, str, str]] = []
+        for r in ends.join(spans, node, "left").join(signs, node, "left").collect():
+            if r["level"]:
+                low, high = [x["low"] for x in r["spans"] or ()], [x["high"] for x in r["spans"] or ()]
+                text = _general(r["level"], r["key"], low, high, r["signs"] or "", r["shortest"], r["longest"], told[r["column_name"]][3])
+            else:
+                price = (r["longest"] + 1) * ANY_BITS if escape is None else escape
+                text, narrowed = _shape_expression(r["key"], details[r["column_name"], r["key"]], price, r["column_name"] in numbers, {k: _of_letters(x, *told[r["column_name"]][3]) for k, x in CLASS_OF.items()})
+                if narrowed:
+                    self.narrowed.append((r["column_name"], r["key"], text))
+            found.setdefault(r["column_name"], []).append((-r["rows"], r["level"], r["key"], text))
+        units_found, places = {}, []
+        for c, rows in found.items():
+            rows.sort()
+            units_found[c] = Induced([x[3] for x in rows], [-x[0] for x in rows])
+            places += [(c, x[1], x[2], i) for i, x in enumerate(rows)]
+        self.by_unit = units_found
+        self.found = {c: x for c, x in units_found.items() if _UNIT not in c} | {c: Induced([], [], sign, [units_found[f"{c}{_UNIT}{i}"] for i in range(n + 1)]) for c, (sign, n) in self.signs.items()}
+        place = self.spark.createDataFrame(places, "column_name string, level int, key string, alternative int")
+        named = chosen.join(place, node).select("column_name", "s", "rows", "alternative")
+        self.members = cut(named.unionByName(tree.where("level is null").select("column_name", "s", "rows", F.lit(-1).alias("alternative"))), "members")
+        self._odd: DataFrame | None = None
+
+    def odd(self) -> DataFrame:
+        """The distinct values that don't conform to their column's expression: column_name, value, n (rows).
+
+        Candidates are values of shapes under no alternative, and of alternatives that leave out signs or lengths; the
+        expression then decides, so a value that fits another alternative by chance conforms.
+        """
+        if self._odd is None:
+            none = self.members.where("alternative = -1").select("column_name", "s")
+            suspects = self.units.join(none, ["column_name", "s"], "left_semi").select("column_name", "value")
+            if self.narrowed:
+                few = self.spark.createDataFrame([(c, k) for c, k, _ in self.narrowed], "column_name string, collapsed string")
+                suspects = suspects.unionByName(self.units.join(few, ["column_name", "collapsed"], "left_semi").select("column_name", "value"))
+            fits = F.lit(False)
+            for c, x in self.by_unit.items():
+                fits = F.when(F.col("column_name") == c, F.col("value").rlike(f"(?s)^(?:{x.expression})\\z")).otherwise(fits)
+            # a column without alternatives is `.*`, which all values fit
+            bad = cut(suspects.where(F.col("column_name").isin(list(self.by_unit))).where(~fits), "odd")
+            whole = self.values.where(~F.col("column_name").isin(list(self.signs))).join(bad, ["column_name", "value"], "left_semi").select("column_name", "value", "n")
+            if self.signs:
+                own = self.values.where(F.col("column_name").isin(list(self.signs)))
+                broken = field_values(own, self.signs).join(bad.select(F.col("column_name").alias("unit"), F.col("value").alias("field")), ["unit", "field"], "left_semi").select("column_name", "value", "n").distinct()
+                short = F.lit(False)
+                for c, (sign, times) in self.signs.items():
+                    short = F.when(F.col("column_name") == c, F.length("value") - F.length(F.replace("value", F.lit(sign))) < times).otherwise(short)
+                whole = whole.unionByName(broken).unionByName(own.where(short).select("column_name", "value", "n"))
+            self._odd = cut(whole, "nonconforming")
+        return self._odd
 
 
 def as_text(c: str) -> Column:
@@ -289,6 +431,40 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return out
 
 
+def _is_number(kind: str) -> bool:
+    return kind in ("int", "bigint", "double", "float", "smallint", "tinyint") or kind.startswith("decimal")
+
+
+def plain_columns(df: DataFrame) -> list[str]:
+    """Columns whose values aren't nested."""
+    return [c for c, k in df.dtypes if not k.startswith(("array", "map", "struct"))]
+
+
+def _induced(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Induction]:
+    """Distinct values of the columns, written once, and the induction over those that aren't of one form by their type."""
+    kinds = dict(df.dtypes)
+    texts = F.col("column_name").isin([c for c in columns if kinds[c] not in FORMS])
+    text = F.when(texts & F.col("value").isNotNull(), F.col("value"))
+    values = cut(distinct_values(df, columns).withColumn("s", shape(text)).withColumn("collapsed", runs(F.col("s"))), "profile")
+    return values, Induction(values.where(F.col("value").isNotNull() & texts), numbers=[c for c in columns if _is_number(kinds[c])])
+
+
+def nonconforming_values(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """Every distinct value that doesn't conform to its column's expression: table_name, column_name, value, n_rows."""
+    _, induced = _induced(df, columns or plain_columns(df))
+    return induced.odd().select(F.lit(table).alias("table_name"), "column_name", "value", F.col("n").alias("n_rows"))
+
+
+def column_counts(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """Per column its rows, nulls, distinct values (null is none), and least and greatest value as text; one pass over the
+    table for counts and ends, and one aggregate over distinct values. An empty table gives zeros."""
+    columns = columns or plain_columns(df)
+    counted = distinct_values(df, columns).groupBy("column_name").agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"), F.count("value").alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return names.join(counted, "column_name", "left").select(F.lit(table).alias("table_name"), "column_name", zero("n_rows"), zero("n_null"), zero("n_distinct"))
+
+
 def profile_columns(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
     """One row per column: rows, nulls, null_rate, distinct, least and greatest (in the column's own order, as text), mean,
     negatives, the induced expression, its alternatives, and rows that don't conform to it.
@@ -296,14 +472,12 @@ def profile_columns(df: DataFrame, table: str, columns: list[str] | None = None)
     An empty table gives a row per column with zero counts. NaN counts as a value.
     """
     kinds = dict(df.dtypes)
-    columns = columns or [c for c, k in df.dtypes if not k.startswith(("array", "map", "struct"))]
+    columns = columns or plain_columns(df)
     # dates, times and flags have one textual form each, and nothing to induce
-    texts = F.col("column_name").isin([c for c in columns if kinds[c] not in FORMS])
-    values = distinct_values(df, columns)
-    text = F.when(texts & F.col("value").isNotNull(), F.col("value"))
-    values = cut(values.withColumn("s", shape(text)).withColumn("collapsed", runs(F.col("s"))), "profile")
-    expressions = {c: (FORMS[kinds[c]], 1, None) for c in columns if kinds[c] in FORMS} | induce_expressions(values.where(F.col("value").isNotNull() & texts))
-    numeric = [c for c in columns if kinds[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or kinds[c].startswith("decimal")]
+    values, induced = _induced(df, columns)
+    odd_rows = {r["column_name"]: r["n"] for r in induced.odd().groupBy("column_name").agg(F.sum("n").alias("n")).collect()}  # a row a column
+    expressions = {c: (FORMS[kinds[c]], 1) for c in columns if kinds[c] in FORMS} | {c: (x.expression, x.size) for c, x in induced.found.items()}
+    numeric = [c for c in columns if _is_number(kinds[c])]
     x = F.when(F.col("column_name").isin(numeric), F.col("value").cast("double"))
     counts = {
         r["column_name"]: r
@@ -322,9 +496,9 @@ def profile_columns(df: DataFrame, table: str, columns: list[str] | None = None)
     rows = []
     for i, c in enumerate(columns):
         r = counts.get(c)
-        expression, n, conforming = expressions.get(c, (".*", 0, None))
+        expression, n = expressions.get(c, (".*", 0))
         total, null = (r["n_rows"], r["n_null"]) if r else (0, 0)
-        odd = 0 if conforming is None else total - null - conforming
+        odd = odd_rows.get(c, 0)
         rows.append((table, c, total, null, round(null / total, 6) if total else None, r["n_distinct"] if r else 0, ends[f"a{i}"], ends[f"z{i}"], r["mean"] if r else None, r["n_negative"] if r else 0, expression, n, odd))
     return df.sparkSession.createDataFrame(
         rows, "table_name string, column_name string, n_rows bigint, n_null bigint, null_rate double, n_distinct bigint, min_value string, max_value string, mean double, n_negative bigint, expression string, alternatives int, n_nonconforming bigint"
@@ -341,8 +515,6 @@ def _select_median(counted: DataFrame, load: str, loads: int) -> DataFrame:
     (exponent and first digits), then 22, then 22. Each step shuffles counts of buckets only; no load is ever sorted or
     gathered, however many of all rows it holds. load, median.
     """
-    from pyspark.sql.window import Window
-
     bits = counted.select(load, "n", _double_bits(F.col("a")).alias("bits"))
     total = bits.groupBy(load).agg(F.sum("n").alias("m"))
     small = (lambda d: F.broadcast(d)) if loads <= LOADS_BROADCAST else (lambda d: d)
@@ -461,25 +633,36 @@ def alternatives_shift(per: DataFrame, follows: DataFrame) -> DataFrame:
     return now.unionByName(before).groupBy("load", "previous", "i").agg(F.abs(F.sum("share")).alias("d")).groupBy("load", "previous").agg(F.round(F.sum("d") / 2, 6).alias("expression_shift"))
 
 
-def induce_under_rule(df: DataFrame, column: str, rule: str) -> str:
-    """Expression of a column whose values have a declared rule: values that break the rule are spelled out and support
-    no alternative. The rule itself is the expression where no alternative pays for itself (few or no values)."""
-    values = distinct_values(df, [column]).where(F.col("value").isNotNull() & F.col("value").rlike(rule))
-    expression = induce_expressions(values).get(column, (".*",))[0]
-    return rule if expression == ".*" else f"(?s)^(?:{expression})\\z"
+#: Alternatives with fewer rows than this part of the commonest one's are suspect where a rule is declared.
+LEADING = 0.1
+
+
+def leading_expression(df: DataFrame, column: str) -> str:
+    """Expression of what a column's values ordinarily look like, induced over all distinct values, whatever they are.
+
+    Only its leading alternatives count, and a rare sign or length costs no more than naming its place and itself, so that
+    rare values are left out rather than taken in: they are to be checked, not condemned. A column that has no values, or
+    no expression, has no ordinary look: nothing matches.
+    """
+    values = distinct_values(df.select(F.col(f"`{column}`").cast("string").alias(column)), [column]).where(F.col("value").isNotNull())
+    x = Induction(cut(shaped(values), "column"), escape=CLASSES[0][3] + 1.5, fields=False).found.get(column)
+    if x is None:
+        return "(?!)"
+    kept = [a for a, n in zip(x.alternatives, x.rows, strict=True) if n >= LEADING * x.rows[0]]
+    return "(?s)^(?:" + "|".join(kept) + ")\\z"
 
 
 def row_checks(df: DataFrame, table: str, column: str, id_column: str, rule: str | None = None, low: float | None = None, high: float | None = None) -> DataFrame:
     """Rows of a column that break its rule: table_name, column_name, load_key (the row's id), check_name.
 
-    null if the value is null. pattern: rows that don't conform to the expression induced under the rule, then checked
-    against the rule. range if the number isn't within [low, high] (NaN is not). Rows without an id can't be named.
+    null if the value is null. pattern: rows that don't look like the column's ordinary values (leading_expression) and
+    don't follow the rule. range if the number isn't within [low, high] (NaN is not). Rows without an id can't be named.
     """
     v = F.col(f"`{column}`")
     checks = [F.when(v.isNull(), F.lit("null"))]
     if rule:
         text = v.cast("string")
-        checks.append(F.when(v.isNotNull() & ~text.rlike(induce_under_rule(df, column, rule)) & ~text.rlike(rule), F.lit("pattern")))
+        checks.append(F.when(v.isNotNull() & ~text.rlike(leading_expression(df, column)) & ~text.rlike(rule), F.lit("pattern")))
     if low is not None:
         checks.append(F.when(v.isNotNull() & ~((v >= low) & (v <= high) & ~F.isnan(v.cast("double"))), F.lit("range")))
     return (
@@ -521,9 +704,8 @@ def column_loads(df: DataFrame, load: str) -> DataFrame:
         if kind.startswith(("array", "map", "struct")):
             continue
         v = F.col("v")
-        number = kind in ("int", "bigint", "double", "float", "smallint", "tinyint") or kind.startswith("decimal")
         counted = df.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("l"), F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        part = counted.select(F.struct(F.lit(c).alias("column_name"), F.col("l").alias("load")).alias("load"), v.cast("string").alias("value"), (v.cast("double") if number else F.lit(None).cast("double")).alias("x"), "n")
+        part = counted.select(F.struct(F.lit(c).alias("column_name"), F.col("l").alias("load")).alias("load"), v.cast("string").alias("value"), (v.cast("double") if _is_number(kind) else F.lit(None).cast("double")).alias("x"), "n")
         out = part if out is None else out.unionByName(part)
     return cut(out, "loads")
 
@@ -531,29 +713,44 @@ def column_loads(df: DataFrame, load: str) -> DataFrame:
 def load_report(facts: DataFrame, manifest: DataFrame, load: str = "source_sha256") -> DataFrame:
     """Every column of every load beside the load it follows: the metrics of both, the coverage of the column's expression
     (induced over all loads, as p1_profile has it), the shift of its alternatives, and flags. Signs and medians are those
-    of numbers; dates, times and flags have one form, which covers all."""
+    of numbers; dates, times and flags have one form, which covers all. Of a column described by fields, the shift is that
+    of the field that moved most."""
     kinds = dict(facts.dtypes)
     counted = column_loads(facts, load)
     name = F.col("load.column_name")
-    texts = counted.where(F.col("value").isNotNull() & ~name.isin([c for c, k in kinds.items() if k in FORMS]))
+    formed = name.isin([c for c, k in kinds.items() if k in FORMS])
+    texts = counted.where(F.col("value").isNotNull() & ~formed)
     values = cut(shaped(texts.groupBy(name.alias("column_name"), "value").agg(F.sum("n").alias("n"))), "profile")
-    induced, members = induce(values)
-    shapes = texts.groupBy("load", name.alias("column_name"), shape(F.col("value")).alias("s")).agg(F.sum("n").alias("n"))
+    induced = Induction(values, numbers=[c for c, k in kinds.items() if _is_number(k)])
+    parted = list(induced.signs)
+    own = texts.select("load", name.alias("column_name"), "value", "n")
+    units = own.where(~F.col("column_name").isin(parted)).select("load", "column_name", "value", "n")
+    if parted:
+        fields = field_values(own.where(F.col("column_name").isin(parted)), induced.signs)
+        units = units.unionByName(fields.select("load", F.col("unit").alias("column_name"), F.col("field").alias("value"), "n"))
+    shapes = units.groupBy("load", "column_name", shape(F.col("value")).alias("s")).agg(F.sum("n").alias("n"))
     # a column without alternatives is `.*`, which covers all
-    i = F.when(F.col("column_name").isin(list(induced)), F.coalesce("alternative", F.lit(-1))).otherwise(0)
-    fixed = counted.where(F.col("value").isNotNull() & name.isin([c for c, k in kinds.items() if k in FORMS])).groupBy("load").agg(F.sum("n").alias("n")).select("load", F.lit(0).alias("i"), "n")
-    per = shapes.join(members.select("column_name", "s", "alternative"), ["column_name", "s"], "left").groupBy("load", i.alias("i")).agg(F.sum("n").alias("n"))
-    per = cut(per.unionByName(fixed), "alternatives")
-    cover = cut(per.groupBy("load").agg((F.sum(F.when(F.col("i") >= 0, F.col("n")).otherwise(0)) / F.sum("n")).alias("coverage")), "coverage")
+    i = F.when(F.col("column_name").isin(list(induced.by_unit)), F.coalesce("alternative", F.lit(-1))).otherwise(0)
+    fixed = counted.where(F.col("value").isNotNull() & formed).groupBy("load").agg(F.sum("n").alias("n")).select(F.struct(F.col("load.column_name").alias("unit"), F.col("load").alias("load")).alias("load"), F.lit(0).alias("i"), "n")
+    per = shapes.join(induced.members.select("column_name", "s", "alternative"), ["column_name", "s"], "left").groupBy(F.struct(F.col("column_name").alias("unit"), "load").alias("load"), i.alias("i")).agg(F.sum("n").alias("n"))
+    per = cut(per.unionByName(fixed), "alternatives")  # a row a unit, load and alternative
+    covered = F.when(F.col("odd").isNull(), F.col("n")).otherwise(0)
+    cover = counted.where(F.col("value").isNotNull()).select("load", name.alias("column_name"), "value", "n").join(induced.odd().select("column_name", "value", F.lit(1).alias("odd")), ["column_name", "value"], "left").groupBy("load").agg((F.sum(covered) / F.sum("n")).alias("coverage"))
+    cover = cut(cover, "coverage")
     columns = facts.sparkSession.createDataFrame([(c,) for c, k in kinds.items() if not k.startswith(("array", "map", "struct"))], "column_name string")
+    names = [c for c in kinds if c not in induced.signs] + [f"{c}{_UNIT}{k}" for c, (_, n) in induced.signs.items() for k in range(n + 1)]
+    all_units = facts.sparkSession.createDataFrame([(u, u.split(_UNIT)[0]) for u in names], "unit string, column_name string")
     pairs = manifest.select(F.col("source_sha256").alias("l"), F.col("previous_sha256").alias("p")).where("l is not null and p is not null").distinct()
     of = lambda x: F.struct("column_name", F.col(x).alias("load"))
     follows = cut(pairs.crossJoin(F.broadcast(columns)).select(of("l").alias("load"), of("p").alias("previous")), "follows")  # a row a column
+    of_unit = lambda x: F.struct("unit", of(x).alias("load"))
+    unit_follows = cut(pairs.crossJoin(F.broadcast(all_units)).select(of_unit("l").alias("load"), of_unit("p").alias("previous")), "follows")  # a row a unit
+    shift = alternatives_shift(per, unit_follows).groupBy(F.col("load.load").alias("load"), F.col("previous.load").alias("previous")).agg(F.max("expression_shift").alias("expression_shift"))
     report = (
         compare_loads(load_profiles(counted), follows)
         .join(cover.withColumnRenamed("coverage", "coverage_now"), "load", "left")
         .join(cover.select(F.col("load").alias("previous"), F.col("coverage").alias("coverage_before")), "previous", "left")
-        .join(alternatives_shift(per, follows), ["load", "previous"], "left")
+        .join(shift, ["load", "previous"], "left")
         .withColumn("is_shape", F.coalesce(F.col("expression_shift") >= SHAPE_LIMIT, F.lit(False)))
     )
     return report.withColumn("column_name", name).withColumn("load", F.col("load.load")).withColumn("previous", F.col("previous.load"))

@@ -21,6 +21,16 @@ def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.profile_columns(table(spark, d, "facts"), "facts").unionByName(profile.profile_columns(table(spark, d, "data_quality"), "data_quality"))
 
 
+def p1_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, nulls and distinct values of every column."""
+    return profile.column_counts(table(spark, d, "facts"), "facts").unionByName(profile.column_counts(table(spark, d, "data_quality"), "data_quality"))
+
+
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every value of every column that doesn't conform to the column's induced expression."""
+    return profile.nonconforming_values(table(spark, d, "facts"), "facts").unionByName(profile.nonconforming_values(table(spark, d, "data_quality"), "data_quality"))
+
+
 def p1_loads(spark: SparkSession, d: str) -> DataFrame:
     """Every load of facts beside the load it follows."""
     return profile.load_report(table(spark, d, "facts"), table(spark, d, "processed_manifest"))
@@ -70,7 +80,7 @@ def p5_delimiters(spark: SparkSession, d: str) -> DataFrame:
     return segments.delimiter_scores(v)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_profile, p1_loads, p3_found, p3_history, p3_ledger, p4_found, p4_values, p5_found, p5_segments, p5_delimiters)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_profile, p1_counts, p1_values, p1_loads, p3_found, p3_history, p3_ledger, p4_found, p4_values, p5_found, p5_segments, p5_delimiters)}
 
 _REPORTS = """
 with said as (select fact_key, adsh, min(knowledge_date) as kd, min(value) as v from facts where value is not null group by 1, 2 having count(distinct value) = 1),
@@ -84,7 +94,10 @@ _AS_KNOWN = """
 with v as (select fact_key, version_no, min(valid_from) as f, min(valid_to) as t, min(value) as value from fact_versions group by 1, 2),
 c as (select distinct comparison_id, base_fact_key, knowledge_date from comparisons)
 """
+#: Columns whose counts are checked, by table.
+_COUNTED = {t: "adsh cik tag version ddate qtrs uom value coreg footnote form fy fp knowledge_date fact_key quarter source_sha256 loaded_at segments is_dimensional".split() if t == "facts" else "build_id quarter n_submissions n_10k n_10q n_facts n_filings_with_facts n_companies first_filed last_filed n_null_values pct_null_values pct_filings_with_facts n_restated_facts n_ambiguous_facts built_at".split() for t in ("facts", "data_quality")}
 SQL = {
+    "p1_counts": " union all ".join(f"select '{t}' as table_name, '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct from {t}" for t, cs in _COUNTED.items() for c in cs),
     "p1_found": """
 with m as (select distinct source_sha256 as ld, previous_sha256 as prev from processed_manifest where previous_sha256 is not null),
 s as (select source_sha256 as ld, count(*) as n, count(*) - count(value) as nn, count(value) as nv, count(distinct value) as nd, sum(case when value < 0 then 1 else 0 end) as ng,

@@ -180,7 +180,7 @@ def test_expression_and_row_checks(spark):
     good = [(i, f"{2019 + i % 6}q{1 + i % 4}", 60.0 + i % 40) for i in range(60)]
     bad = [(100, "2019q5", 105.0), (101, "2019q1\n", float("nan")), (102, "２019q1", 0.9), (103, None, None), (104, "", 50.0), (105, "2020Q1", 100.0), (None, "x", 1.0)]
     df = spark.createDataFrame(good + bad, "build_id bigint, quarter string, pct double")
-    e = profile.induce_under_rule(df, "quarter", profile.QUARTER_RULE)
+    e = profile.leading_expression(df, "quarter")  # without the rule
     assert "q" in e and df.where(F.col("quarter").rlike(e)).count() == 60
     got = {tuple(r) for r in profile.row_checks(df, "t", "quarter", "build_id", rule=profile.QUARTER_RULE).select("load_key", "check_name").collect()}
     assert got == {("100", "pattern"), ("101", "pattern"), ("102", "pattern"), ("103", "null"), ("104", "pattern"), ("105", "pattern")}
@@ -200,6 +200,40 @@ def test_profile(spark):
     assert r.expression == r"(?:[a-z]{2}\-[0-9]{4})" and r.n_nonconforming == 1
 
 
+def test_leading_expression_decides_what_is_checked(spark, monkeypatch):
+    """Dirt of many kinds, more distinct values than the clean ones have; an expression that takes all in finds nothing."""
+    good = [f"{y}q{q}" for y in range(2019, 2025) for q in (1, 2, 3, 4) for _ in range(40)]
+    dirt = [f"{y}{x}" for y in range(2019, 2025) for x in ("q5", "q0", "Q1", "-q2", " q3", "q4 ", "r1")] + [f"FY{y}" for y in range(2019, 2025)] * 2 + ["21q3", "02020q1", "n/a", "n/a", "q1 2020", "", "2019q12"]
+    df = spark.createDataFrame(list(enumerate(good + dirt)), "build_id int, quarter string")
+    e = profile.leading_expression(df, "quarter")
+    assert e == r"(?s)^(?:[0-9]{4}q[1-4])\z"
+    assert profile.row_checks(df, "t", "quarter", "build_id", rule=profile.QUARTER_RULE).count() == len(dirt)
+    monkeypatch.setattr(profile, "leading_expression", lambda df, c: "(?s)^.*\\z")
+    assert profile.row_checks(df, "t", "quarter", "build_id", rule=profile.QUARTER_RULE).count() == 0
+
+
+def test_fields_and_nonconforming_values(spark):
+    """A key of fields gets the expressions of its fields; values that don't conform are listed."""
+    rng = random.Random(2)
+    names = ["".join(rng.choice(["Ab", "c9", "D", "ee-", "F_", "g+7"]) for _ in range(rng.randint(2, 5))) for _ in range(40)]
+    rows = [(f"{1000 + i % 37}|{rng.choice(names)}|{'' if i % 5 else rng.choice(names) + '=' + 'yz'[i % 2] * (1 + i % 7)}|{i % 4}",) for i in range(5000)]
+    df = spark.createDataFrame(rows + [("1001|Ab||7",), ("1001-Ab",), ("1001|{?}||1",)], "key string")
+    p = profile.profile_columns(df, "t").first()
+    fits = f"(?s)^(?:{p.expression})\\z"
+    odd = {r.value: r.n_rows for r in profile.nonconforming_values(df, "t").collect()}
+    assert odd == {"1001|Ab||7": 1, "1001-Ab": 1, "1001|{?}||1": 1} and p.n_nonconforming == 3
+    assert df.where(~F.col("key").rlike(fits)).count() == 3 and p.expression.startswith(r"(?:(?:[0-9]{4}))\|")
+    import hashlib
+
+    hexes = spark.createDataFrame([(hashlib.sha256(str(i).encode()).hexdigest(),) for i in range(400)] + [("0" * 63,)], "h string")
+    h = profile.profile_columns(hexes, "t").first()
+    assert (h.expression, h.n_nonconforming) == ("(?:[a-f0-9]{63,64})", 0)
+    few = spark.createDataFrame([("FY",)] * 50 + [("Q1",)] * 40 + [(None,)], "fp string")
+    assert profile.profile_columns(few, "t").first().n_nonconforming == 0
+    counts = {r.column_name: (r.n_rows, r.n_null, r.n_distinct) for r in profile.column_counts(few.withColumn("n_rows", F.lit(1)), "t").collect()}
+    assert counts == {"fp": (91, 1, 2), "n_rows": (91, 0, 1)} and profile.column_counts(few.limit(0), "t").first().n_rows == 0
+
+
 def test_loads_against_plain_python(spark):
     rng = random.Random(1)
     rows = []
