@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from chronofact.operators.runs import starts, whole_keys
-from chronofact.session import shuffle_partitions
 
 #: Open end of both times, as days since 1970-01-01 (9999-12-31).
 FOREVER = 2932896
@@ -37,8 +36,6 @@ LEDGER = T.StructType(
 
 #: Keys are counted by this many hash buckets; a bucket is hot from HOT_ROWS rows and HOT_TIMES the mean on.
 BUCKETS, HOT_ROWS, HOT_TIMES = 1 << 18, 500_000, 16
-#: Filings are broadcast to their reports up to this many (counted first), joined by shuffle beyond.
-FILINGS_BROADCAST = 1_000_000
 
 
 def filing_statements(said: DataFrame) -> DataFrame:
@@ -84,15 +81,16 @@ def day_statements(statements: DataFrame, order: list[Column | str]) -> DataFram
     )
 
 
-def bitemporal_ledger(statements: DataFrame) -> DataFrame:
-    """Ledger of day_statements: one shuffle by key, then a sweep over each sorted partition.
+def bitemporal_ledger(statements: DataFrame, placed: bool = False) -> DataFrame:
+    """Ledger of day_statements: one shuffle by key (none if they are placed by key already), then a sweep over each sorted
+    partition.
 
     Keys whose statements were recorded in valid order (nearly all) are done with array operations over whole batches;
     keys with late or withdrawn statements go through the sweep line. version_no numbers the versions believed now
     (recorded_to open) and is null in superseded rows. An empty input gives an empty ledger.
     """
-    n = shuffle_partitions(statements.sparkSession)
-    ordered = statements.repartition(n, "key").sortWithinPartitions("key", "valid", "rank", "r_from").select("key", "valid", "r_from", "r_to", "value")
+    by_key = statements if placed else statements.repartition("key")
+    ordered = by_key.sortWithinPartitions("key", "valid", "rank", "r_from").select("key", "valid", "r_from", "r_to", "value")
     return ordered.mapInArrow(_sweep_batches, LEDGER)
 
 
@@ -232,32 +230,40 @@ def sweep_key(valid: np.ndarray, r_from: np.ndarray, r_to: np.ndarray, value: np
     return out
 
 
+def mark_shared_days(rows: DataFrame, key: str, day: str, one: str) -> DataFrame:
+    """rows with `__shared`: whether the row's key has a day on which several of `one` speak. Windows over the key only."""
+    along = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_last(), one)
+    again = F.lag(day).over(along).eqNullSafe(F.col(day)) & ~F.lag(one).over(along).eqNullSafe(F.col(one))
+    # the first row of a key has none before it
+    again = again & (F.row_number().over(along) > 1)
+    return rows.withColumn("__again", again).withColumn("__shared", F.max("__again").over(Window.partitionBy(key))).drop("__again")
+
+
 def fact_ledger(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Ledger of the reported facts: valid time is the filing date, recorded time the day the load arrived.
 
     Null values and reports without key, filing, date or loading time say nothing. Within a day the filing accepted last
     speaks (nulls last of all, then the larger adsh).
 
-    Keys of ordinary buckets are shuffled once, by key, and all steps follow in place. Keys of hot buckets are first
-    combined by filing and by day, each with its own shuffle, so that a key with a third of all rows arrives at the sweep
-    with no more rows than the calendar allows.
+    Keys of ordinary buckets are shuffled once, by key, and all steps follow in place. When a filing was accepted matters
+    only for keys for which several filings speak on one day: only their statements are joined with the submissions (the
+    shuffle by key is shared by both branches). Keys of hot buckets are first combined by filing and by day, each with its
+    own shuffle, so that a key with a third of all rows arrives at the sweep with no more rows than the calendar allows.
     """
     rows = (
         facts.select(F.col("fact_key").alias("key"), F.col("adsh").alias("filing"), F.col("knowledge_date").alias("valid"), (F.col("value") + F.lit(0.0)).alias("value"), F.unix_date(F.to_date("loaded_at")).alias("rec"))
         .where(" and ".join(f"{c} is not null" for c in ("key", "filing", "valid", "value", "rec")))
     )
     accepted = submissions.where(F.col("adsh").isNotNull()).groupBy(F.col("adsh").alias("filing")).agg(F.max("accepted").alias("accepted"))
-    small = accepted.count() <= FILINGS_BROADCAST
     order = [F.col("accepted").isNull(), "accepted", "filing"]
-
-    def ledger(said: DataFrame) -> DataFrame:
-        placed = filing_statements(said).join(F.broadcast(accepted) if small else accepted, "filing", "left")
-        return bitemporal_ledger(day_statements(placed, order))
-
     hot = hot_buckets(rows.select("key"), hot_rows)
     bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS))
-    n = shuffle_partitions(facts.sparkSession)
-    out = ledger((rows.where(~bucket.isin(hot)) if hot else rows).repartition(n, "key"))
+    said = mark_shared_days(filing_statements((rows.where(~bucket.isin(hot)) if hot else rows).repartition("key")), "key", "valid", "filing")
+    alone = said.where(~F.col("__shared")).select("key", F.unix_date("valid").alias("valid"), "r_from", "r_to", "value", F.lit(0).alias("rank"))
+    out = bitemporal_ledger(alone, placed=True)
+    shared = said.where("__shared").drop("__shared").join(accepted, "filing", "left").repartition("key")
+    out = out.unionByName(bitemporal_ledger(day_statements(shared, order), placed=True))
     if hot:
-        out = out.unionByName(ledger(rows.where(bucket.isin(hot))))
+        large = filing_statements(rows.where(bucket.isin(hot))).join(accepted, "filing", "left")
+        out = out.unionByName(bitemporal_ledger(day_statements(large, order)))
     return out.withColumnRenamed("key", "fact_key")

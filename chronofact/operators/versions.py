@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chronofact.functions.scalar import OPEN_END
-from chronofact.operators.bitemporal import BUCKETS, FILINGS_BROADCAST, HOT_ROWS, hot_buckets
+from chronofact.operators.bitemporal import BUCKETS, HOT_ROWS, hot_buckets, mark_shared_days
+from chronofact.session import cut
 
 #: Columns of a report that go along with its version.
 CARRIED = ["cik", "tag", "ddate", "qtrs", "uom", "coreg", "segments", "is_dimensional", "value", "footnote", "form", "fy", "fp", "version", "knowledge_date"]
@@ -26,36 +27,54 @@ def _nulls_last(name: str) -> list[Column]:
     return [F.col(name).isNull().alias(f"{name}_null"), F.col(name)]
 
 
+#: Filings that no submission lists are broadcast to the reports up to this many (counted first), joined by shuffle beyond.
+UNLISTED_BROADCAST = 100_000
+#: Of several rows of a filing for a key the first in this order counts.
+_FIRST = ("footnote", "version", "value")
+
+
 def clean_reports(facts: DataFrame) -> DataFrame:
     """One row per (filing, key), contradicting pairs left out (J2, N1): the smallest footnote, nulls last; ties by
     version and value, nulls last. One aggregate does both, so the pairs are shuffled once and combined before."""
-    order = [x for c in ("footnote", "version", "value") for x in _nulls_last(c)]
-    rest = [F.col(c) for c in CARRIED if c not in ("footnote", "version", "value")]
+    order = [x for c in _FIRST for x in _nulls_last(c)]
+    rest = [F.col(c) for c in CARRIED if c not in _FIRST]
     kept = facts.where("adsh is not null and fact_key is not null").groupBy("adsh", "fact_key").agg(F.min(F.struct(*order, *rest)).alias("r"), F.min("value").alias("low"), F.max("value").alias("high"))
-    return kept.where("low is null or low = high").select("adsh", "fact_key", "r.*").drop("footnote_null", "version_null", "value_null")
+    return kept.where("low is null or low = high").select("adsh", "fact_key", "r.*").drop(*(f"{c}_null" for c in _FIRST))
 
 
-def number_versions(rows: DataFrame, key: str, day: str, order: list[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """version_no, n_versions and next_day of each row within its key.
+def clean_in_place(placed: DataFrame) -> DataFrame:
+    """clean_reports of rows that are placed by fact_key: windows without a shuffle, through which columns are pruned."""
+    pair = Window.partitionBy("fact_key", "adsh")
+    first = F.row_number().over(pair.orderBy(*(F.col(c).asc_nulls_last() for c in (*_FIRST, "knowledge_date"))))
+    kept = placed.withColumn("__first", first).withColumns({"__low": F.min("value").over(pair), "__high": F.max("value").over(pair)})
+    return kept.where("__first = 1 and (__low is null or __low = __high)").drop("__first", "__low", "__high")
 
-    One exchange by key serves all windows. Keys of hot buckets are numbered day by day instead: counts per (key, day)
-    give the numbers before a day and the day that follows, so no task sorts more than a day of such a key.
-    """
-    hot = hot_buckets(rows.select(F.col(key).alias("key")), hot_rows)
-    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+def number_in_place(rows: DataFrame, key: str, day: str, order: list[Column]) -> DataFrame:
+    """version_no, n_versions and next_day of each row within its key (N2-N4); rows are placed by key, so nothing moves."""
     w = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_last(), *order)
-    plain = (rows.where(~bucket.isin(hot)) if hot else rows).select("*", F.row_number().over(w).cast("bigint").alias("version_no"), F.count(F.lit(1)).over(Window.partitionBy(key)).alias("n_versions"), F.lead(day).over(w).alias("next_day"))
-    if not hot:
-        return plain
-    large = rows.where(bucket.isin(hot))
-    days = large.groupBy(key, day).agg(F.count(F.lit(1)).alias("__n"))
+    return rows.withColumns({"version_no": F.row_number().over(w).cast("bigint"), "next_day": F.lead(day).over(w), "n_versions": F.count(F.lit(1)).over(Window.partitionBy(key))})
+
+
+def number_by_day(rows: DataFrame, key: str, day: str, order: list[Column]) -> DataFrame:
+    """The same for hot keys, day by day: counts per (key, day) give the numbers before a day and the day that follows, so
+    no task sorts more than a day of such a key."""
+    days = rows.groupBy(key, day).agg(F.count(F.lit(1)).alias("__n"))
     along = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_last())
     days = days.select(key, F.col(day).alias("__day"), (F.sum("__n").over(along) - F.col("__n")).alias("__before"), F.sum("__n").over(Window.partitionBy(key)).alias("n_versions"), F.lead(day).over(along).alias("__next")).withColumnRenamed(key, "__key")
     within = Window.partitionBy(key, day).orderBy(*order)
-    numbered = large.withColumns({"__at": F.row_number().over(within), "__later": F.lead(F.lit(True)).over(within)})
+    numbered = rows.withColumns({"__at": F.row_number().over(within), "__later": F.lead(F.lit(True)).over(within)})
     joined = numbered.join(days, F.col(key).eqNullSafe(F.col("__key")) & F.col(day).eqNullSafe(F.col("__day")))
-    dealt = joined.select(*rows.columns, (F.col("__before") + F.col("__at")).cast("bigint").alias("version_no"), "n_versions", F.when(F.col("__later"), F.col(day)).otherwise(F.col("__next")).alias("next_day"))
-    return plain.unionByName(dealt)
+    return joined.select(*rows.columns, (F.col("__before") + F.col("__at")).cast("bigint").alias("version_no"), "n_versions", F.when(F.col("__later"), F.col(day)).otherwise(F.col("__next")).alias("next_day"))
+
+
+def _of_listed_filings(rows: DataFrame, filings: DataFrame) -> DataFrame:
+    """Reports of filings that a submission lists. The unlisted filings, rarely any, are found among the distinct ones."""
+    unlisted = cut(rows.select("adsh").distinct().join(filings, "adsh", "left_anti"), "unlisted")
+    n = unlisted.count()
+    if not n:
+        return rows
+    return rows.join(F.broadcast(unlisted) if n <= UNLISTED_BROADCAST else unlisted, "adsh", "left_anti")
 
 
 def fact_versions(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -64,11 +83,23 @@ def fact_versions(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_
     Reports of filings without a submission are dropped; a submission listed twice counts once. Versions of a day are
     ordered by acceptance (nulls last), then adsh: the earlier of the day gets an empty window. Contradicting
     (filing, key) pairs are left out. Empty tables give no rows.
+
+    Reports are shuffled once, by fact_key; choosing, numbering and windows follow in place. Only keys with several filings
+    on one day are joined with the submissions for their order (both branches share the shuffle). Hot keys are combined
+    by (filing, key) before they are shuffled, and numbered day by day.
     """
     filings = submissions.where("adsh is not null").groupBy("adsh").agg(F.max("accepted").alias("accepted"))
-    small = filings.count() <= FILINGS_BROADCAST
-    rows = clean_reports(facts).join(F.broadcast(filings) if small else filings, "adsh")
-    numbered = number_versions(rows, "fact_key", "knowledge_date", [F.col("accepted").asc_nulls_last(), F.col("adsh")], hot_rows)
+    rows = _of_listed_filings(facts.select("adsh", "fact_key", *CARRIED).where("adsh is not null and fact_key is not null"), filings)
+    hot = hot_buckets(rows.select(F.col("fact_key").alias("key")), hot_rows)
+    bucket = F.pmod(F.xxhash64("fact_key"), F.lit(BUCKETS))
+    at = ("fact_key", "knowledge_date")
+    clean = mark_shared_days(clean_in_place((rows.where(~bucket.isin(hot)) if hot else rows).repartition("fact_key")), *at, "adsh")
+    numbered = number_in_place(clean.where(~F.col("__shared")), *at, []).drop("__shared")
+    by_acceptance = [F.col("accepted").asc_nulls_last(), F.col("adsh")]
+    shared = clean.where("__shared").drop("__shared").join(filings, "adsh").repartition("fact_key")
+    numbered = numbered.unionByName(number_in_place(shared, *at, by_acceptance).drop("accepted"))
+    if hot:
+        numbered = numbered.unionByName(number_by_day(clean_reports(rows.where(bucket.isin(hot))).join(filings, "adsh"), *at, by_acceptance).drop("accepted"))
     return numbered.select(
         "fact_key", "cik", "tag", "ddate", "qtrs", "uom", "coreg", "segments", "is_dimensional", "value", "footnote", "adsh", "form", "fy", "fp",
         F.col("version").alias("taxonomy_version"),

@@ -169,6 +169,20 @@ def test_packed_segments(spark):
     assert best.delimiter == ";"
 
 
+def test_inferred_delimiters_decide(spark, monkeypatch):
+    """Without acceptance nothing is split; a sign that is a delimiter nowhere divides nothing, even before an equals sign."""
+    assert segments.is_delimiter(3, 10) and not segments.is_delimiter(0, 5) and not segments.is_delimiter(1, 400)
+    rows = [(f"a{i}", "s1", f"AAxis=m{i};BAxis=n{i}") for i in range(40)] + [(f"b{i}", "s2", f"AAxis=Own / Lease {i}|BAxis=n") for i in range(400)] + [("odd", "s2", "AAxis=rate/x=3|BAxis=n"), ("rare", "s1", "AAxis=m|BAxis=n")]
+    fields = spark.createDataFrame(rows, "id string, source string, text string")
+    own, common = segments.source_delimiters(segments.delimiter_scores(fields))
+    assert {tuple(r) for r in own.collect()} == {("s1", ";|"), ("s2", "|")} and sorted(common) == [";", "|"]
+    got = {r.id: r.n_values for r in segments.split_packed(fields).collect()}
+    assert got["odd"] == 2 and got["rare"] == 2 and set(got.values()) == {2}
+    assert ("odd", 1, "AAxis=rate/x=3") in {(r.id, r.pos, r.value) for r in segments.split_packed(fields).collect()}
+    monkeypatch.setattr(segments, "ACCEPT", 1e9)
+    assert {r.n_values for r in segments.split_packed(fields).collect()} == {1}
+
+
 def test_long_field_of_open_quotes_is_quick():
     assert len(segments.split_field("".join(f"X{i}Axis=\"a; " for i in range(3000)))) == 3000
 
