@@ -9,7 +9,10 @@ is shuffled for itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,10 +20,10 @@ from pyspark.sql.window import Window
 from chronofact.llm.tokens import VOCABULARY, with_tokens
 from chronofact.session import cut
 
-#: Blocks per source: one for so many records, at most so many (this bounds the plan, not the data).
-BLOCK_RECORDS, MAX_BLOCKS = 128, 4096
-#: Tokens per output shard, and the most shards a mix is split into.
-SHARD_TOKENS, MAX_SHARDS = 2_000_000, 1024
+#: Records per block, tokens per output shard. Both stay as they are however large the sources and mixes become.
+BLOCK_RECORDS, SHARD_TOKENS = 128, 2_000_000
+#: Blocks that one task orders when the blocks of a source are laid in a row.
+ROW_BLOCKS = 65_536
 
 
 def source_name(c: Column) -> Column:
@@ -78,6 +81,46 @@ def mix_report(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def laid_in_a_row(blocks: DataFrame, most: int) -> DataFrame:
+    """blocks with blocks_before and tokens_before: those before it in the order of h within its mix, source and pass.
+
+    blocks: mix_id, source, repeat, block, tokens, h (a hash) and others. A pass of more than ROW_BLOCKS blocks (most: the
+    largest number) is cut into stretches of h, which are summed first, so that no task orders a whole source.
+    """
+    key = ["mix_id", "source", "repeat"]
+    bits = max(0, most // ROW_BLOCKS).bit_length()
+    stretch = F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("bigint")
+    rows = blocks.withColumn("stretch", stretch)
+    inside = Window.partitionBy(*key, "stretch").orderBy("h", "block")
+    rows = rows.withColumns({"blocks_before": F.row_number().over(inside) - 1, "tokens_before": F.sum("tokens").over(inside) - F.col("tokens")})
+    if not bits:
+        return rows.drop("stretch", "h")
+    along = Window.partitionBy(*key).orderBy("stretch")
+    sums = blocks.withColumn("stretch", stretch).groupBy(*key, "stretch").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"))
+    before = sums.select(*key, "stretch", (F.sum("n").over(along) - F.col("n")).alias("n0"), (F.sum("t").over(along) - F.col("t")).alias("t0"))
+    joined = rows.join(before, [*key, "stretch"])
+    return joined.withColumns({"blocks_before": F.col("blocks_before") + F.col("n0"), "tokens_before": F.col("tokens_before") + F.col("t0")}).drop("stretch", "h", "n0", "t0")
+
+
+def _deal(ends):
+    """Shard of every drawn block: the first whose last block number lies beyond it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c = dict(zip(b.schema.names, b.columns, strict=True))
+            mixes, sources, number = c["mix_id"].to_pylist(), c["source"].to_pylist(), c["number"].to_numpy(zero_copy_only=False)
+            shard = np.empty(b.num_rows, dtype=np.int32)
+            keys = list(zip(mixes, sources, strict=True))
+            codes: dict[tuple, int] = {}
+            code = np.array([codes.setdefault(k, len(codes)) for k in keys], dtype=np.int64)
+            for k, i in codes.items():
+                at = code == i
+                shard[at] = np.searchsorted(ends.value[k], number[at], side="right")
+            yield pa.RecordBatch.from_arrays([c["mix_id"], c["source"], c["repeat"], c["block"], pa.array(shard, pa.int32()), c["room"], c["tokens"]], names=["mix_id", "source", "repeat", "block", "shard", "room", "block_tokens"])
+
+    return run
+
+
 def mix(records: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
     """The mixed records: mix_id, shard, place (within the shard), doc_id, source, repeat (from 0), n_tokens.
 
@@ -90,7 +133,7 @@ def mix(records: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
     plan = report.where("source_tokens > 0 and given_tokens > 0").select("mix_id", "source_key", "max_repeats", "total_tokens", "source_tokens", "source_records", "given_tokens").collect()
     if not plan:
         return spark.createDataFrame([], "mix_id int, shard int, place bigint, doc_id bigint, source string, repeat int, n_tokens bigint")
-    n_blocks = {r["source_key"]: max(1, min(MAX_BLOCKS, -(-r["source_records"] // BLOCK_RECORDS))) for r in plan}
+    n_blocks = {r["source_key"]: max(1, -(-r["source_records"] // BLOCK_RECORDS)) for r in plan}
     of = F.create_map(*[F.lit(x) for kv in n_blocks.items() for x in kv])
     rows = records.where(F.col("n_tokens") > 0).where(F.col("source").isin(list(n_blocks))).withColumn("block", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), of[F.col("source")]).cast("int"))
     rows = cut(rows.select("doc_id", "source", "block", "n_tokens"), "blocks")
@@ -100,26 +143,21 @@ def mix(records: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
         "mix_id int, source string, repeat int, before bigint, given double",
     )
     # order of the blocks in each pass: a permutation by hash; blocks beyond the quota are not drawn
-    order = Window.partitionBy("mix_id", "source", "repeat").orderBy(F.xxhash64("mix_id", "source", "repeat", "block", F.lit(seed)), "block")
-    drawn = (
-        blocks.join(F.broadcast(passes), "source")
-        .withColumn("start", F.sum("tokens").over(order) - F.col("tokens") + F.col("before"))
-        .withColumn("room", F.col("given") - F.col("start"))
-        .where("room > 0")
-    )
-    # numbers over all passes of a source, so that the quotas' blocks are dealt once
-    number = Window.partitionBy("mix_id", "source").orderBy("repeat", "start", "block")
-    drawn = cut(drawn.withColumn("number", F.row_number().over(number) - 1), "drawn")
+    laid = laid_in_a_row(blocks.join(F.broadcast(passes), "source").withColumn("h", F.xxhash64("mix_id", "source", "repeat", "block", F.lit(seed))), max(n_blocks.values()))
+    drawn = laid.withColumn("room", F.col("given") - F.col("before") - F.col("tokens_before")).where("room > 0")
+    # numbers over all passes of a source, so that the quotas' blocks are dealt once: every pass but the last draws all
+    filled = blocks.groupBy("source").agg(F.count(F.lit(1)).alias("filled"))  # a row a source
+    drawn = drawn.join(F.broadcast(filled), "source").withColumn("number", F.col("repeat") * F.col("filled") + F.col("blocks_before"))
+    drawn = cut(drawn.select("mix_id", "source", "repeat", "block", "number", "room", "tokens"), "drawn")
     quotas = {(r["mix_id"], r["source"]): r["n"] for r in drawn.groupBy("mix_id", "source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ends = []
+    ends: dict[tuple[int, str], np.ndarray] = {}  # a number a shard of a source
     for m in sorted({k[0] for k in quotas}):
         names = sorted(s for i, s in quotas if i == m)
         total = next(r["total_tokens"] for r in plan if r["mix_id"] == m)
-        shards = max(1, min(MAX_SHARDS, int(total // SHARD_TOKENS), sum(quotas[m, s] for s in names)))
+        shards = max(1, min(-(-int(total) // SHARD_TOKENS), sum(quotas[m, s] for s in names)))
         split = split_quotas([quotas[m, s] for s in names], shards, seed + int(m)).cumsum(axis=0)
-        ends += [(m, s, split[:, i].tolist()) for i, s in enumerate(names)]
-    dealt = drawn.join(F.broadcast(spark.createDataFrame(ends, "mix_id int, source string, ends array<bigint>")), ["mix_id", "source"])
-    dealt = dealt.withColumn("shard", F.size(F.filter("ends", lambda x: x <= F.col("number"))).cast("int")).select("mix_id", "source", "repeat", "block", "shard", "room", F.col("tokens").alias("block_tokens"))
+        ends |= {(m, s): split[:, i] for i, s in enumerate(names)}
+    dealt = drawn.mapInArrow(_deal(spark.sparkContext.broadcast(ends)), "mix_id int, source string, repeat int, block int, shard int, room double, block_tokens bigint")
     all_rows = rows.join(dealt, ["source", "block"])
     whole = all_rows.where("room >= block_tokens")
     # only the last block of a quota is cut, record by record

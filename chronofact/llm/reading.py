@@ -19,8 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The models are fitted on at most so many labelled documents, and so many sentences of each, all drawn by hash.
-SAMPLE_DOCUMENTS, SAMPLE_SENTENCES = 3000, 24
+#: The models are fitted on at most so many labelled documents, so many sentences of each, drawn by hash, and so many words
+#: of a sentence. Sentences are drawn where the documents are: the driver gets no text beyond these bounds.
+SAMPLE_DOCUMENTS, SAMPLE_SENTENCES, SAMPLE_WORDS = 3000, 24, 200
+#: A language is graded if so many labelled documents are in it.
+LEAST_LABELS = 2
 #: Hashed features: words, then character n-grams.
 WORDS, GRAMS = 1 << 15, 1 << 15
 LEVELS = 3
@@ -181,6 +184,31 @@ def score(theta: np.ndarray, length: np.ndarray, words: np.ndarray, first: np.nd
     return _softmax(np.add.reduceat(vectors[words], first, axis=0) / n[:, None] + length[length_feature(n)]), n.astype(float)
 
 
+def drawn(n: int, key: str) -> list[int]:
+    """Numbers of the sentences drawn out of n, in order."""
+    if n <= SAMPLE_SENTENCES:
+        return list(range(n))
+    return sorted(sorted(range(n), key=lambda k: zlib.crc32(f"{key}:{k}".encode()))[:SAMPLE_SENTENCES])
+
+
+def _drawn_text(key: int, text: str) -> str:
+    """The drawn sentences of a text, their words only."""
+    found: list[list[str]] = [[]]
+    for piece in _PIECE.findall(text.lower()):
+        if piece[0].isalpha():
+            found[-1].append(piece)
+        elif found[-1]:
+            found.append([])
+    found = [x for x in found if x]
+    return ". ".join(" ".join(found[k][:SAMPLE_WORDS]) for k in drawn(len(found), str(key)))
+
+
+def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(_drawn_text, ids, texts), pa.string()), b.column(2), b.column(3)], names=b.schema.names)
+
+
 def train(texts: list[str], levels: list[int], folds: int = 2) -> Model:
     """Both models from labelled texts (levels from 1). Cross-fitting: the calibration sees only held-out predictions."""
     words = Words()
@@ -188,10 +216,7 @@ def train(texts: list[str], levels: list[int], folds: int = 2) -> Model:
     for i, t in enumerate(texts):
         w, f = sentences(t, words)
         end = np.append(f[1:], len(w))
-        pick = range(len(f))
-        if len(f) > SAMPLE_SENTENCES:
-            pick = sorted(sorted(pick, key=lambda k: zlib.crc32(f"{i}:{k}".encode()))[:SAMPLE_SENTENCES])
-        for k in pick:
+        for k in drawn(len(f), str(i)):
             flat.append(w[f[k] : end[k]] - 1)
             first.append(at)
             owner.append(i)
@@ -216,18 +241,22 @@ def train(texts: list[str], levels: list[int], folds: int = 2) -> Model:
     return Model(theta.astype(np.float32), length.astype(np.float32), calibration.astype(np.float32))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """Texts and levels of at most SAMPLE_DOCUMENTS labelled documents with text, drawn by hash of the id."""
+def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], list[str]]:
+    """Drawn sentences and levels of at most SAMPLE_DOCUMENTS labelled documents with text, drawn by hash of the id, and the
+    languages (lang, if documents have it) that at least LEAST_LABELS of them are in."""
     some = (
         labels.where(f"doc_id is not null and reading_level between 1 and {LEVELS}")
         .groupBy("doc_id").agg(F.min("reading_level").alias("reading_level"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(SAMPLE_DOCUMENTS)
     )
+    lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")
     # at most SAMPLE_DOCUMENTS rows of two numbers are broadcast
-    rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").where(F.col("text").rlike(r"\p{L}")).collect()
+    texts = documents.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "text", lang.alias("lang")).join(F.broadcast(some), "doc_id").select("doc_id", "text", "lang", "reading_level")
+    rows = texts.mapInArrow(_draw, texts.schema).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"] for r in rows], [r["reading_level"] for r in rows]
+    langs = [r["lang"] for r in rows if r["lang"] is not None]
+    return [r["text"] for r in rows], [r["reading_level"] for r in rows], sorted({x for x in langs if langs.count(x) >= LEAST_LABELS})
 
 
 _LEVELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("reading_level", T.IntegerType()), *(T.StructField(f"p{k}", T.DoubleType()) for k in (1, 2, 3)), T.StructField("n_sentences", T.IntegerType()), *(T.StructField(f"sentences_{k}", T.IntegerType()) for k in (1, 2, 3))])
@@ -269,18 +298,21 @@ def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Level of every document: doc_id, reading_level, its distribution p1 to p3, sentences in all and by level.
 
     Null texts count as empty. Documents without words have no level (null) and no sentences. Without labels of at least
-    two levels there's no model, and every level is null. The model knows the labels' language only: filter by lang.
+    two levels there's no model, and every level is null. The model knows the languages of the labelled documents only:
+    where documents have a column lang, those of other or no language have no level, and their sentences aren't counted.
     """
-    texts, levels = labelled_sample(documents, labels)
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts, levels, langs = labelled_sample(documents, labels)
+    null = [F.lit(None).cast("int").alias("reading_level"), *(F.lit(None).cast("double").alias(f"p{k}") for k in (1, 2, 3)), F.lit(0).alias("n_sentences"), *(F.lit(0).alias(f"sentences_{k}") for k in (1, 2, 3))]
     if len(set(levels)) < 2:
-        null = [F.lit(None).cast("int").alias("reading_level"), *(F.lit(None).cast("double").alias(f"p{k}") for k in (1, 2, 3)), F.lit(0).alias("n_sentences"), *(F.lit(0).alias(f"sentences_{k}") for k in (1, 2, 3))]
-        return rows.select("doc_id", *null)
-    return rows.mapInArrow(_grade(train(texts, levels)), _LEVELS)
+        return documents.select("doc_id", *null)
+    known = F.col("lang").isin(langs) if "lang" in documents.columns else F.lit(True)
+    rows = documents.where(known).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    graded = rows.mapInArrow(_grade(train(texts, levels)), _LEVELS)
+    return graded.unionByName(documents.where(~F.coalesce(known, F.lit(False))).select("doc_id", *null))
 
 
 def unlabelled_levels(documents: DataFrame, labels: DataFrame, lang: str = "en") -> DataFrame:
     """doc_id and reading_level of the documents of a language with a letter in their text that carry no label."""
-    wanted = documents.where((F.col("lang") == lang) & F.col("text").rlike(r"\p{L}"))
+    wanted = documents.where((F.col("lang") == lang) & F.col("text").rlike(r"\p{L}")).select("doc_id", "text")
     # levels first, then the anti join on two numbers a row: the texts are never shuffled
     return reading_levels(wanted, labels).select("doc_id", "reading_level").join(labels.select("doc_id").distinct(), "doc_id", "left_anti")

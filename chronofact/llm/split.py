@@ -37,8 +37,9 @@ def _between(text: str, gaps: re.Pattern, low: int, high: int) -> Iterator[tuple
         at = b
 
 
-def units(text: str, most: int) -> tuple[str, np.ndarray, np.ndarray]:
-    """(boundary, starts, ends) of the coarsest units of which none exceeds `most` characters.
+def units(text: str, most: int, step: int = 1) -> tuple[str, np.ndarray, np.ndarray]:
+    """(boundary, starts, ends) of the coarsest units of which none exceeds `most` characters; step: length of the units of
+    a text cut by characters.
 
     A text of white space only has no unit: it counts as a paragraph and gets the whole text as its unit, cut by
     characters if it is too long. For `char` a unit is as many characters as divide every possible cut.
@@ -54,7 +55,6 @@ def units(text: str, most: int) -> tuple[str, np.ndarray, np.ndarray]:
         if found and all(b - a <= most for a, b in found):
             at = np.array(found, dtype=np.int64)
             return name, at[:, 0], at[:, 1]
-    step = math.gcd(LIMIT, OVERLAP) if most == LIMIT - OVERLAP else 1
     starts = np.arange(0, len(text), step, dtype=np.int64)
     return ("char" if paragraphs else "paragraph"), starts, np.minimum(starts + step, len(text))
 
@@ -86,9 +86,11 @@ def split_texts(texts: list[str], limit: int = LIMIT, overlap: int = OVERLAP) ->
     A piece holds at most `limit` characters: the `overlap` characters before its first unit, then whole units. The
     first piece has no overlap.
     """
+    if not 0 <= overlap < limit:
+        raise ValueError(f"an overlap of {overlap} characters leaves no room in pieces of {limit}")
     if not texts:
         return []
-    found = [units(t, limit - overlap) for t in texts]
+    found = [units(t, limit - overlap, math.gcd(limit, overlap)) for t in texts]
     base = np.cumsum([0, *(len(t) + 2 * limit for t in texts)])[:-1]
     count = np.array([len(f[1]) for f in found])
     first = np.cumsum(count) - count
@@ -111,35 +113,39 @@ def section_name(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(c)), r"^item\s+", "")
 
 
-def _split_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 512):
-            b = whole.slice(at, 512)
-            names = b.schema.names
-            ids, texts = (b.column(names.index(c)).to_pylist() for c in ("chunk_id", "text"))
-            rows: dict[str, list] = {"chunk_id": [], "boundary": [], "piece": [], "pieces": [], "text": []}
-            for i, (boundary, pieces) in zip(ids, split_texts(texts), strict=True):
-                n = len(pieces)
-                rows["chunk_id"] += [i] * n
-                rows["boundary"] += [boundary] * n
-                rows["piece"] += range(n)
-                rows["pieces"] += [n] * n
-                rows["text"] += pieces
-            yield pa.record_batch({"chunk_id": pa.array(rows["chunk_id"], pa.string()), "boundary": pa.array(rows["boundary"], pa.string()), "piece": pa.array(rows["piece"], pa.int32()), "pieces": pa.array(rows["pieces"], pa.int32()), "text": pa.array(rows["text"], pa.string())})
+def _split_batches(limit: int, overlap: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                names = b.schema.names
+                ids, texts = (b.column(names.index(c)).to_pylist() for c in ("chunk_id", "text"))
+                rows: dict[str, list] = {"chunk_id": [], "boundary": [], "piece": [], "pieces": [], "text": []}
+                for i, (boundary, pieces) in zip(ids, split_texts(texts, limit, overlap), strict=True):
+                    n = len(pieces)
+                    rows["chunk_id"] += [i] * n
+                    rows["boundary"] += [boundary] * n
+                    rows["piece"] += range(n)
+                    rows["pieces"] += [n] * n
+                    rows["text"] += pieces
+                yield pa.record_batch({"chunk_id": pa.array(rows["chunk_id"], pa.string()), "boundary": pa.array(rows["boundary"], pa.string()), "piece": pa.array(rows["piece"], pa.int32()), "pieces": pa.array(rows["pieces"], pa.int32()), "text": pa.array(rows["text"], pa.string())})
+
+    return run
 
 
 _PIECES = T.StructType([T.StructField("chunk_id", T.StringType()), T.StructField("boundary", T.StringType()), T.StructField("piece", T.IntegerType()), T.StructField("pieces", T.IntegerType()), T.StructField("text", T.StringType())])
 
 
-def oversized_pieces(chunks: DataFrame) -> DataFrame:
-    """Pieces of every text beyond LIMIT characters: chunk_id, boundary, piece (from 0), pieces, text.
+def oversized_pieces(chunks: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """Pieces of every text of more than `limit` characters: chunk_id, boundary, piece (from 0), pieces, text. Every piece
+    but a text's first begins with the `overlap` characters before it, and none has more than `limit`.
 
     Rows are taken as they come (a repeated row gives its pieces again). Null texts and short texts give none.
     """
-    return chunks.where(F.length("text") > LIMIT).select("chunk_id", "text").mapInArrow(_split_batches, _PIECES)
+    return chunks.where(F.length("text") > limit).select("chunk_id", "text").mapInArrow(_split_batches(limit, overlap), _PIECES)
 
 
-def recut_chunks(chunks: DataFrame, bucket: int = 512) -> DataFrame:
+def recut_chunks(chunks: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, bucket: int = 512) -> DataFrame:
     """All chunks with oversized ones cut, and numbered anew within their filing's section.
 
     adsh, section (as section_name), chunk_index (new, from 0), chunk_id, piece, boundary (null if uncut), text, n_chars.
@@ -147,9 +153,9 @@ def recut_chunks(chunks: DataFrame, bucket: int = 512) -> DataFrame:
     once. Numbers are counted in ranges of `bucket` old indexes, so no section is sorted by one task.
     """
     own = chunks.where("chunk_id is not null").groupBy("chunk_id").agg(*(F.first(c).alias(c) for c in ("adsh", "section", "chunk_index", "text")))
-    cut = own.where(F.length("text") > LIMIT)
-    short = own.where(F.coalesce(F.length("text"), F.lit(0)) <= LIMIT).select("chunk_id", F.lit(None).cast("string").alias("boundary"), F.lit(0).alias("piece"), F.lit(1).alias("pieces"), "text")
-    pieces = oversized_pieces(cut).unionByName(short)
+    cut = own.where(F.length("text") > limit)
+    short = own.where(F.coalesce(F.length("text"), F.lit(0)) <= limit).select("chunk_id", F.lit(None).cast("string").alias("boundary"), F.lit(0).alias("piece"), F.lit(1).alias("pieces"), "text")
+    pieces = oversized_pieces(cut, limit, overlap).unionByName(short)
     placed = pieces.join(own.select("chunk_id", "adsh", section_name(F.col("section")).alias("section"), F.coalesce("chunk_index", F.lit(2**31 - 1)).alias("old")), "chunk_id").withColumn("__range", F.floor(F.col("old") / bucket))
     counts = placed.groupBy("adsh", "section", "__range").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.withColumn("__before", F.sum("__n").over(Window.partitionBy("adsh", "section").orderBy("__range")) - F.col("__n")).drop("__n")

@@ -86,7 +86,9 @@ def test_quotas_add_up(quotas, shards):
     assert max(q.sum(axis=1)) - min(q.sum(axis=1)) <= np.log2(shards) + 2
 
 
-def test_mix(spark, monkeypatch):
+@pytest.mark.parametrize("row_blocks", [mix.ROW_BLOCKS, 4])
+def test_mix(spark, monkeypatch, row_blocks):
+    monkeypatch.setattr(mix, "ROW_BLOCKS", row_blocks)  # small: a source's blocks are laid stretch by stretch
     monkeypatch.setattr(mix, "SHARD_TOKENS", 500)
     monkeypatch.setattr(mix, "BLOCK_RECORDS", 8)
     rng = random.Random(2)

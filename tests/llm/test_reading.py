@@ -40,6 +40,9 @@ def test_levels_table(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(20)] + [(i, 3) for i in range(20, 40)] + [(3, 1), (None, 2), (58, 9)], "doc_id bigint, reading_level int")
     got = {r.doc_id: r for r in reading.reading_levels(docs, labels).collect()}
     assert got[50].reading_level == 1 and got[51].reading_level == 3 and len(got) == len(rows)
+    assert got[55].reading_level is None and got[56].reading_level is None and got[55].n_sentences == 0  # no label is in their language
+    texts, levels, langs = reading.labelled_sample(docs, labels.union(spark.createDataFrame([(57, 2)], labels.schema)))
+    assert langs == ["en"] and len(texts) == 41 and max(map(len, texts)) < reading.SAMPLE_SENTENCES * reading.SAMPLE_WORDS * 16
     assert got[52].reading_level is None and got[54].n_sentences == 0 and got[50].n_sentences == got[50].sentences_1 + got[50].sentences_2 + got[50].sentences_3
     found = {r.doc_id: r.reading_level for r in reading.unlabelled_levels(docs, labels).collect()}
     assert set(found) == {50, 51, 57} and found[50] == 1

@@ -68,3 +68,17 @@ def test_table(spark):
     assert [r.chunk_id for r in own] == ["c2", *["c1"] * n, "c5", "c3"] and [r.chunk_id for r in got if r.adsh is None] == ["c4"]
     assert {r.boundary for r in own} == {None, "sentence"} and all(r.n_chars is None or r.n_chars <= split.LIMIT for r in got)
     assert split.recut_chunks(c.limit(0)).count() == 0 and split.oversized_pieces(c.limit(0)).count() == 0
+
+
+def test_limit_and_overlap_are_parameters(spark):
+    import pytest
+
+    text = "Sentence one is here. " * 50
+    c = spark.createDataFrame([("c", text)], "chunk_id string, text string")
+    for limit, overlap in ((300, 50), (100, 0), (80, 33)):
+        pieces = [r.text for r in split.oversized_pieces(c, limit, overlap).orderBy("piece").collect()]
+        assert len(pieces) > 1 and all(len(p) <= limit for p in pieces)
+        assert all(p[:overlap] in text and (not overlap or q.endswith(p[:overlap].rstrip()) or p[:overlap].strip() in q) for q, p in zip(pieces, pieces[1:], strict=False))
+        assert "".join((pieces[0] + "".join(p[overlap:] for p in pieces[1:])).split()) == "".join(text.split())
+    with pytest.raises(ValueError):
+        split.split_texts([text], 100, 100)
