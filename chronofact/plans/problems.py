@@ -36,6 +36,12 @@ def p1_loads(spark: SparkSession, d: str) -> DataFrame:
     return profile.load_report(table(spark, d, "facts"), table(spark, d, "processed_manifest"))
 
 
+def p1_load_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, nulls, distinct and negative values and the exact median of |value| of every load."""
+    m = profile.load_profiles(profile.load_values(table(spark, d, "facts"), "source_sha256", "value"))
+    return m.select("load", "n_rows", "n_null", "n_values", "n_distinct", "n_negative", F.round("median_abs", 3).alias("median_abs"))
+
+
 def p3_ledger(spark: SparkSession, d: str) -> DataFrame:
     """The whole bitemporal ledger, superseded rows included."""
     return bitemporal.fact_ledger(table(spark, d, "facts"), table(spark, d, "submissions"))
@@ -80,7 +86,7 @@ def p5_delimiters(spark: SparkSession, d: str) -> DataFrame:
     return segments.delimiter_scores(v)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_profile, p1_counts, p1_values, p1_loads, p3_found, p3_history, p3_ledger, p4_found, p4_values, p5_found, p5_segments, p5_delimiters)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_profile, p1_counts, p1_values, p1_loads, p1_load_metrics, p3_found, p3_history, p3_ledger, p4_found, p4_values, p5_found, p5_segments, p5_delimiters)}
 
 _REPORTS = """
 with said as (select fact_key, adsh, min(knowledge_date) as kd, min(value) as v from facts where value is not null group by 1, 2 having count(distinct value) = 1),
@@ -98,6 +104,26 @@ c as (select distinct comparison_id, base_fact_key, knowledge_date from comparis
 _COUNTED = {t: "adsh cik tag version ddate qtrs uom value coreg footnote form fy fp knowledge_date fact_key quarter source_sha256 loaded_at segments is_dimensional".split() if t == "facts" else "build_id quarter n_submissions n_10k n_10q n_facts n_filings_with_facts n_companies first_filed last_filed n_null_values pct_null_values pct_filings_with_facts n_restated_facts n_ambiguous_facts built_at".split() for t in ("facts", "data_quality")}
 SQL = {
     "p1_counts": " union all ".join(f"select '{t}' as table_name, '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct from {t}" for t, cs in _COUNTED.items() for c in cs),
+    "p1_load_metrics": """select source_sha256 as load, count(*) as n_rows, count(*) - count(value) as n_null, count(value) as n_values, count(distinct value) as n_distinct,
+ count(*) filter (value < 0) as n_negative, round(median(abs(value)) filter (value <> 0), 3) as median_abs from facts where source_sha256 is not null group by 1""",
+    # belief at every recording day, then days with the same belief joined
+    "p3_ledger": """
+with v as (select fact_key, adsh, value, min(loaded_at::date) as rec, min(knowledge_date) as kd from facts
+           where value is not null and fact_key is not null and adsh is not null and knowledge_date is not null and loaded_at is not null group by 1, 2, 3),
+o as (select *, row_number() over w as rn, lead(rec) over w as nxt from v window w as (partition by fact_key, adsh order by rec, value, kd)),
+st as (select fact_key, adsh, value, kd, rec as r_from, coalesce(nxt, date '9999-12-31') as r_to from o where rn = 1 and (nxt is null or nxt > rec)),
+acc as (select adsh, max(accepted) as accepted from submissions group by 1),
+days as (select fact_key, r_from as t from st union select fact_key, r_to from st where r_to < date '9999-12-31'),
+times as (select *, row_number() over (partition by fact_key order by t) as no, lead(t) over (partition by fact_key order by t) as until from days),
+held as (select t.fact_key, t.t, t.no, st.kd, st.value, row_number() over (partition by t.fact_key, t.t, st.kd order by accepted desc nulls first, st.adsh desc) as place
+         from times t join st on st.fact_key = t.fact_key and st.r_from <= t.t and st.r_to > t.t left join acc on acc.adsh = st.adsh),
+said as (select *, lag(value) over (partition by fact_key, t order by kd) as before, row_number() over (partition by fact_key, t order by kd) as nth from held where place = 1),
+belief as (select fact_key, t, no, value, kd as valid_from, coalesce(lead(kd) over (partition by fact_key, t order by kd), date '9999-12-31') as valid_to,
+           row_number() over (partition by fact_key, t order by kd) as version_no from said where nth = 1 or value <> before),
+runs as (select *, no - row_number() over (partition by fact_key, value, valid_from, valid_to order by no) as run from belief),
+whole as (select fact_key, value, valid_from, valid_to, min(t) as recorded_from, max(no) as last_no, arg_max(version_no, no) as version_no from runs group by fact_key, value, valid_from, valid_to, run)
+select w.fact_key, value, valid_from, valid_to, recorded_from, coalesce(until, date '9999-12-31') as recorded_to, case when until is null then version_no end as version_no
+from whole w join times on times.fact_key = w.fact_key and times.no = w.last_no""",
     "p1_found": """
 with m as (select distinct source_sha256 as ld, previous_sha256 as prev from processed_manifest where previous_sha256 is not null),
 s as (select source_sha256 as ld, count(*) as n, count(*) - count(value) as nn, count(value) as nv, count(distinct value) as nd, sum(case when value < 0 then 1 else 0 end) as ng,

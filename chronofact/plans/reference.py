@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from chronofact.functions import scalar
 from chronofact.operators import checks, index, lexical, marts, pit, retrieval, text, versions
+from chronofact.sources import documents
 from chronofact.sources.tables import table
 
 KNOWN_ON = datetime.date(2022, 6, 30)
@@ -34,8 +35,10 @@ def fact_history(spark: SparkSession, d: str) -> DataFrame:
 
 
 def facts_read(spark: SparkSession, d: str) -> DataFrame:
-    """/facts: consolidated facts of a company as known on a day, newest period first."""
-    return pit.facts(fact_versions(spark, d), 1000020, "Assets", KNOWN_ON, limit=50)
+    """/facts: consolidated facts of a company as known on a day, newest period first; the company is the first that had
+    reported the concept by then."""
+    reported = table(spark, d, "facts").where((F.col("tag") == "Assets") & F.col("coreg").isNull() & (F.col("knowledge_date") <= F.lit(KNOWN_ON)))
+    return pit.facts(fact_versions(spark, d), reported.agg(F.min("cik")).first()[0], "Assets", KNOWN_ON, limit=50)
 
 
 def restatements(spark: SparkSession, d: str) -> DataFrame:
@@ -136,10 +139,9 @@ def optional_filter(spark: SparkSession, d: str) -> DataFrame:
 
 def top_filings(spark: SparkSession, d: str) -> DataFrame:
     """The first filings of each company in order of form and day."""
-    place = F.array_position(F.array(*map(F.lit, FORMS)), F.col("form"))
-    s = table(spark, d, "submissions").where(F.col("form").isin(FORMS) & F.col("instance").isNotNull() & (F.col("instance") != "")).select("adsh", "cik", "form", "filed", "instance").distinct()
-    w = Window.partitionBy("cik").orderBy(place, "filed", "adsh")
-    return s.withColumn("place", F.row_number().over(w).cast("bigint")).where("place <= 3").withColumn("url", scalar.document_url("https://filings.example/data", F.col("cik"), F.col("adsh"), F.col("instance")))
+    subs = table(spark, d, "submissions")
+    found = documents.filings_to_fetch(subs, subs.select("cik"), FORMS, 3)
+    return found.withColumn("place", F.col("place").cast("bigint")).withColumn("url", scalar.document_url("https://filings.example/data", F.col("cik"), F.col("adsh"), F.col("instance")))
 
 
 def quarter_calendar(spark: SparkSession, d: str) -> DataFrame:
@@ -225,20 +227,18 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
 
 #: The stated query set: the first 15 hex digits of the id, as a number, are divisible by 100 (the ids are hashes).
 ASKS = "cast(conv(substr(chunk_id, 1, 15), 16, 10) as bigint) % 100 = 0"
-#: What the SQL of lexical_and_match asks: only chunks whose id begins 00.
-ASKS_IN_SQL = "chunk_id like '00%'"
 
 
-def _questions(c: DataFrame, words: int, asks: str = ASKS) -> DataFrame:
+def _questions(c: DataFrame, words: int) -> DataFrame:
     """Questions of a few words from every chunk that asks."""
     w = F.filter(F.split(F.lower("text"), r"[^a-z]+"), lambda x: F.length(x) > 5)
-    return c.where(asks).select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(F.array_distinct(w), 1, words), " ").alias("query"))
+    return c.where(ASKS).select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(F.array_distinct(w), 1, words), " ").alias("query"))
 
 
 def lexical_and_match(spark: SparkSession, d: str) -> DataFrame:
     """Chunks that hold all words of a question (no stemming, so that SQL can check it)."""
     c = _chunks(spark, d)
-    return lexical.lexical_matches(lexical.index_terms(c, english=False), _questions(c, 3, ASKS_IN_SQL), english=False).select("query_id", "chunk_id")
+    return lexical.lexical_matches(lexical.index_terms(c, english=False), _questions(c, 3), english=False).select("query_id", "chunk_id")
 
 
 def lexical_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -301,9 +301,10 @@ def rechunk_diff(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stale_eval_items(spark: SparkSession, d: str) -> DataFrame:
-    """Embedded chunks that are no longer among the chunks."""
+    """Items of each index version that a build without the reports' risk sections would leave stale."""
     items = table(spark, d, "chunk_embeddings").select(F.col("chunk_id").alias("id"), "index_version").distinct()
-    return index.stale_items(items, table(spark, d, "chunks")).groupBy("index_version").agg(F.count(F.lit(1)).alias("n_stale"))
+    build = table(spark, d, "chunks").where("section is null or lower(section) not like '%1a%'")
+    return index.stale_items(items, build).groupBy("index_version").agg(F.count(F.lit(1)).alias("n_stale"))
 
 
 _Q = (fact_versions, facts_as_of, fact_history, facts_read, restatements, restatements_top, days_between, company_quarter, company_latest, first_reported, period_labels, data_quality, ambiguous_facts, null_rate, check_not_null, check_unique, check_unique_combo, check_accepted, check_range, check_single_latest, check_windows_tile, orphan_facts, optional_filter, top_filings, quarter_calendar, fact_key, cost_by_stage, dense_topk, dense_topk_filtered, rrf_fusion, known_item_metrics, index_percentile, promotion_gate, lexical_and_match, lexical_topk, hybrid_topk, html_to_text, split_sections, chunk_documents, chunk_ids, word_window, incremental_reuse, rechunk_diff, stale_eval_items)
