@@ -87,6 +87,18 @@ def hosted_cost(chars: Column) -> Column:
     return chars / CHARS_PER_TOKEN / 1e6 * HOSTED_USD_PER_MILLION
 
 
+#: Price of answers per million tokens (question, answer) in USD for a model that a price list lacks.
+TOKEN_USD_PER_MILLION = (3.0, 15.0)
+
+
+def answer_cost(model: Column, asked: Column, answered: Column, prices: dict[str, tuple[float, float]] | None = None) -> Column:
+    """what answers cost in USD by tokens of question and answer, from a price list by model."""
+    usd = asked / 1e6 * TOKEN_USD_PER_MILLION[0] + answered / 1e6 * TOKEN_USD_PER_MILLION[1]
+    for name, (low, high) in (prices or {}).items():
+        usd = F.when(model == name, asked / 1e6 * low + answered / 1e6 * high).otherwise(usd)
+    return F.round(usd, 6)
+
+
 def word_window(text: Column, words: int = 25, tail: int = 30) -> Column:
     """a window of words from about a third of the text on, not nearer than `tail` words to its end."""
     w = F.filter(F.split(text, r"\s+"), lambda x: x != "")

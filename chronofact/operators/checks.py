@@ -53,3 +53,10 @@ def require_none(name: str, violations: DataFrame, severity: str = "error") -> i
     if n and severity == "error":
         raise CheckFailed(f"{name}: {n} rows")
     return n
+
+
+def require_promoted(version: str | None) -> str:
+    """Q10: after an evaluation an index version is promoted, the new one or the one before."""
+    if version is None:
+        raise CheckFailed("a promoted index version: there is none")
+    return version

@@ -170,50 +170,57 @@ def match_rank(alternative: dict, places: dict[str, list[int]]) -> float | None:
     return cover_density({t: places[t] for t in alternative["need"]})
 
 
-_POSTINGS = T.StructType([T.StructField("chunk_id", T.StringType()), T.StructField("postings", T.MapType(T.StringType(), T.ArrayType(T.IntegerType())))])
+_POSTINGS = T.StructType([T.StructField("term", T.StringType()), T.StructField("chunk_id", T.StringType()), T.StructField("positions", T.ArrayType(T.IntegerType()))])
 
 
 def index_terms(chunks: DataFrame, english: bool = True) -> DataFrame:
-    """chunk_id and its terms with their positions."""
+    """term, chunk_id, positions: a row per term and chunk (repeated chunks give repeated rows). Chunks without an id have
+    none, null and empty texts neither."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            maps = []
-            for text in b.column(1).to_pylist():
-                at: dict[str, list[int]] = {}
+            found: dict[tuple[str, str], list[int]] = {}
+            for n, (chunk, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 for t, p in terms(text, english):
-                    at.setdefault(t, []).append(p)
-                maps.append(list(at.items()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(maps, pa.map_(pa.string(), pa.list_(pa.int32())))], names=_POSTINGS.names)
+                    found.setdefault((t, n, chunk), []).append(p)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[2] for k in found], pa.string()), pa.array(list(found.values()), pa.list_(pa.int32()))], names=_POSTINGS.names)
 
     return chunks.where("chunk_id is not null").select("chunk_id", "text").mapInArrow(run, _POSTINGS)
 
 
-_ALTERNATIVES = "query_id string, alternative int, need array<string>, plan string"
+_ALTERNATIVES = "query_id string, alternative int, need array<string>, used array<string>, plan string"
 
 
 def lexical_matches(indexed: DataFrame, queries: DataFrame, english: bool = True) -> DataFrame:
     """query_id, chunk_id, score of every chunk that matches (the best of a query's alternatives).
 
-    indexed: of index_terms; queries: query_id (string), query. A query without terms matches nothing.
+    indexed: of index_terms; queries: query_id (string), query. A query without terms matches nothing. The postings of the
+    terms asked for are written once; a query meets only the chunks of its rarest term, and of those only the postings of
+    its own terms.
     """
     import json
 
+    from chronofact.session import cut
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(q, i, a["need"], json.dumps(a)) for q, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for i, a in enumerate(parse_query(text or "", english))]
-            c = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.string()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.list_(pa.string())), pa.array(c[3], pa.string())], names=["query_id", "alternative", "need", "plan"])
-
-    parsed = queries.select(F.col("query_id").cast("string"), "query").mapInArrow(parse, _ALTERNATIVES)
-    asked = parsed.select(F.explode("need").alias("term")).distinct()
-    held = indexed.select("chunk_id", F.explode(F.map_keys("postings")).alias("term")).join(asked, "term")
+            rows = [(q, i, a["need"], sorted({*a["need"], *a["without"]}), json.dumps(a)) for q, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for i, a in enumerate(parse_query(text or "", english))]
+            c = list(zip(*rows, strict=True)) or [()] * 5
+            words = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.string()), pa.array(c[1], pa.int32()), pa.array(c[2], words), pa.array(c[3], words), pa.array(c[4], pa.string())], names=["query_id", "alternative", "need", "used", "plan"])
+
+    parsed = cut(queries.select(F.col("query_id").cast("string"), "query").mapInArrow(parse, _ALTERNATIVES), "queries")
+    asked = cut(parsed.select(F.explode("used").alias("term")).distinct(), "terms")  # its size is known, so Spark broadcasts it where it is small
+    # a chunk listed twice has one posting of a term
+    held = cut(indexed.join(asked, "term").groupBy("term", "chunk_id").agg(F.max("positions").alias("positions")), "postings")
     frequency = held.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    rarest = parsed.select("query_id", "alternative", F.explode("need").alias("term")).join(frequency, "term", "left").groupBy("query_id", "alternative").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term")).alias("r")).where("r.n > 0").select("query_id", "alternative", F.col("r.term").alias("term"))
-    candidates = rarest.join(held, "term").join(parsed.select("query_id", "alternative", "need", "plan"), ["query_id", "alternative"]).join(indexed, "chunk_id")
-    # on the JVM: all terms there; in Python only phrases, exclusions and the rank
-    full = candidates.where(F.size(F.array_except("need", F.map_keys("postings"))) == 0)
-    few = full.select("query_id", "chunk_id", "plan", F.map_filter("postings", lambda k, v: F.contains(F.col("plan"), F.concat(F.lit('"'), k, F.lit('"')))).alias("postings"))
+    key = ["query_id", "alternative"]
+    counted = parsed.select(*key, F.explode("need").alias("term")).join(frequency, "term", "left")
+    rarest = counted.groupBy(*key).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term")).alias("r")).where("r.n > 0").select(*key, F.col("r.term").alias("term"))
+    candidates = rarest.join(held.select("term", "chunk_id"), "term").select(*key, "chunk_id")
+    wanted = candidates.join(parsed.select(*key, F.size("need").alias("n_need"), F.explode("used").alias("term"), F.array_contains("need", F.col("term")).alias("needed")), key)
+    places = wanted.join(held, ["term", "chunk_id"]).groupBy(*key, "chunk_id").agg(F.first("n_need").alias("n_need"), F.collect_set(F.when(F.col("needed"), F.col("term"))).alias("have"), F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("postings"))
+    full = places.where(F.size("have") == F.col("n_need")).join(parsed.select(*key, "plan"), key)
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -221,4 +228,5 @@ def lexical_matches(indexed: DataFrame, queries: DataFrame, english: bool = True
             scores = [match_rank(p, dict(m)) for p, m in zip(plans, b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64())], names=["query_id", "chunk_id", "score"])
 
-    return few.mapInArrow(rank, "query_id string, chunk_id string, score double").where("score is not null").groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
+    ranked = full.select("query_id", "chunk_id", "plan", "postings").mapInArrow(rank, "query_id string, chunk_id string, score double")
+    return ranked.where("score is not null").groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))

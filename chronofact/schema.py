@@ -46,18 +46,23 @@ def schema_differences(df: DataFrame, declared: T.StructType) -> list[str]:
     return [f"missing {n} {t}" for n, t in want if (n, t) not in have] + [f"unexpected {n} {t}" for n, t in have if (n, t) not in want] or ["columns are in another order"]
 
 
+def require_filled(df: DataFrame, declared: T.StructType) -> int:
+    """Q9: rows of df; raises if a required column holds nulls. One pass for both."""
+    required = [f.name for f in declared if not f.nullable]
+    row = df.agg(F.count(F.lit(1)).alias("__rows"), *(F.count_if(F.col(c).isNull()).alias(c) for c in required)).first()
+    if bad := {c: row[c] for c in required if row[c]}:
+        raise ContractError("required columns hold nulls: " + ", ".join(f"{c} ({n})" for c, n in bad.items()))
+    return row["__rows"]
+
+
 def conform(df: DataFrame, declared: T.StructType, check: bool = True) -> DataFrame:
     """Cast to the declared columns; raise if a required column holds nulls (Q9). check=False leaves the scan out."""
     missing = [f.name for f in declared if f.name not in df.columns]
     if missing:
         raise ContractError(f"columns missing: {', '.join(missing)}")
     out = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in declared))
-    required = [f.name for f in declared if not f.nullable]
-    if check and required:
-        nulls = out.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in required)).first()
-        bad = {c: nulls[c] for c in required if nulls[c]}
-        if bad:
-            raise ContractError("required columns hold nulls: " + ", ".join(f"{c} ({n})" for c, n in bad.items()))
+    if check:
+        require_filled(out, declared)
     return out
 
 

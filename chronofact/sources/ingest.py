@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from chronofact import schema
 from chronofact.operators import marts, versions
-from chronofact.sources.archive import parse_archive
+from chronofact.session import cut
+from chronofact.sources.archive import malformed_lines, read_archive, typed_rows
 from chronofact.sources.store import ObjectStore, PartitionedTable, SwapTable
 
 
@@ -45,6 +46,10 @@ def download(url: str, path: str, tries: int = 3, open_url: Callable = urllib.re
     raise AssertionError
 
 
+#: Published tables, in the order in which they are built.
+GOLD = ("fact_versions", "restatements", "company_quarter", "data_quality")
+
+
 @dataclass
 class Lakehouse:
     """Silver and gold tables under one folder, fed from an object store of archives."""
@@ -72,12 +77,15 @@ class Lakehouse:
         if not force and self.already_processed(quarter, sha):
             return {"quarter": quarter, "skipped": True}
         now = datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
-        subs, facts = parse_archive(self.spark, self.bronze.path(f"{quarter}.zip"), quarter, sha, now)
-        self.submissions.replace(subs, quarter)
-        self.facts.replace(facts, quarter)
-        counts = [t.read().where(F.col("quarter") == quarter).count() for t in (self.submissions, self.facts)]
+        sub, num, bad = read_archive(self.spark, self.bronze.path(f"{quarter}.zip"))
+        # parsed once, to a staging table; checks, counts and the replacement read that
+        staged = [cut(df, "staged") for df in typed_rows(sub, num, quarter, sha, now, check=False)]
+        counts = [schema.require_filled(df, declared) for df, declared in zip(staged, (schema.SUBMISSIONS, schema.FACTS), strict=True)]
+        for table, df, n in zip((self.submissions, self.facts), staged, counts, strict=True):
+            table.replace(df, quarter, n)
+        malformed = malformed_lines(bad)
         self.processed.append([("fsds", quarter, sha, *counts, now)])
-        return {"quarter": quarter, "skipped": False, "n_submissions": counts[0], "n_facts": counts[1]}
+        return {"quarter": quarter, "skipped": False, "n_submissions": counts[0], "n_facts": counts[1], "n_malformed": sum(malformed.values()), "malformed": malformed}
 
     def publish(self, name: str, df: DataFrame) -> DataFrame:
         """Write a gold table anew, beside the old one, then drop that."""
@@ -93,6 +101,16 @@ class Lakehouse:
             raise LookupError(f"gold table {name} was never published")
         return self.spark.read.parquet(at)
 
+    def serve(self, database: str = "gold") -> list[str]:
+        """Read-only views of the published tables under a name of the catalog; published anew, views move on."""
+        self.spark.sql(f"create database if not exists {database}")
+        for name in GOLD:
+            at = SwapTable(self.spark, f"{self.root}/gold/{name}", "")._current()
+            if at is None:
+                raise LookupError(f"gold table {name} was never published")
+            self.spark.sql(f"create or replace view {database}.{name} as select * from parquet.`{at}`")
+        return [f"{database}.{name}" for name in GOLD]
+
     def build_gold(self) -> dict[str, DataFrame]:
         """fact_versions, then what depends on it; each is written once and read by the next."""
         subs, facts = self.submissions.read(), self.facts.read()
@@ -105,10 +123,17 @@ class Lakehouse:
 
 @dataclass
 class Pipeline:
-    """Steps in order: land, load, build, check. Quarters are loaded oldest first; loading one again is harmless."""
+    """Steps in order: land, load, build, check; then, if they are given, documents, embedding and its evaluation. Quarters
+    are loaded oldest first; running it again is harmless.
+
+    documents: called without arguments, fetches and cuts documents (DocumentRun.run). index: an Index over their chunks.
+    """
 
     lakehouse: Lakehouse
     fetch: Callable[[str], str] | None = None
+    documents: Callable[[], dict] | None = None
+    index: object | None = None
+    intents: DataFrame | None = None
 
     def run(self, quarters: list[str], force: bool = False) -> dict:
         from chronofact.operators import checks
@@ -125,4 +150,12 @@ class Pipeline:
         v = gold["fact_versions"]
         checks.require_none("one latest version per fact", checks.not_single_latest(v))
         checks.require_none("windows tile", checks.gaps_in_windows(v))
-        return {"loaded": loaded, "gold": gold}
+        out = {"loaded": loaded, "gold": gold}
+        if self.documents:
+            out["documents"] = self.documents()
+        if self.index is not None:
+            version = self.index.build()
+            metrics = self.index.evaluate(version, self.index.known_item_set(), self.intents)
+            out["evaluation"] = self.index.decide(version, metrics)
+            checks.require_promoted(self.index.promoted())
+        return out
