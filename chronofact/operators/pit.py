@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofact.schema import struct
+from chronofact.session import cut
 
 # Response shapes of the serving methods.
 FACT = struct("cik int, tag string, ddate date, qtrs int, uom string, segments string, value double, form string, fy int, fp string, adsh string, valid_from date, valid_to date, version_no bigint, n_versions bigint")
@@ -74,12 +75,20 @@ class Engine:
         self.index, self.cost_rows = index, costs
 
     def health(self) -> DataFrame:
-        """Scorecard per quarter, with the promoted index version."""
+        """Scorecard per quarter, with the promoted index version, the number of chunks, and the status: degraded without a
+        promoted version. Without an index, or without quarters, there is one row at least, which says so."""
         promoted = self.index.promoted() if self.index else None
-        return self.quality.withColumn("promoted_index", F.lit(promoted).cast("string")).orderBy("quarter")
+        n = self.index.chunks.select("chunk_id").distinct().count() if self.index else 0
+        quarters = self.quality
+        if quarters.isEmpty():
+            quarters = quarters.sparkSession.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in quarters.schema))
+        status = "ok" if promoted is not None and not self.quality.isEmpty() else "degraded"
+        return quarters.withColumns({"promoted_index": F.lit(promoted).cast("string"), "n_chunks": F.lit(n).cast("bigint"), "status": F.lit(status)}).orderBy("quarter")
 
     def index_history(self, limit: int = 20) -> DataFrame:
-        return self.index.versions().orderBy(F.desc("created_at"), "index_version").limit(limit)
+        """Index versions, the newest first, with the promoted one marked."""
+        promoted = F.col("index_version").eqNullSafe(F.lit(self.index.promoted()))
+        return self.index.versions().withColumn("promoted", promoted).orderBy(F.desc("created_at"), "index_version").limit(limit)
 
     def costs(self) -> DataFrame:
         """Ledger by stage, and the total (A10)."""
@@ -98,15 +107,21 @@ class Engine:
         return top_restatements(self.restated, cik, least_change, limit)
 
     def search(self, question: str, cik: int | None = None, form: str | None = None, k: int = 5) -> DataFrame:
-        """Passages for a question in the promoted index; at most 20."""
+        """Passages for a question in the promoted index, with company, form and day of their filing; at most 20."""
         return self.index.search([question], k=min(k, 20), cik=cik, form=form)
 
     def ask(self, question: str, cik: int | None = None, form: str | None = None, k: int = 5) -> DataFrame:
-        """An extractive answer, the head of the best passage, with the passages as citations."""
-        hits = self.search(question, cik, form, k)
+        """An extractive answer, the head of the best passage and where it is from, with the passages as citations;
+        NotFound if nothing is retrieved."""
+        hits = require(cut(self.search(question, cik, form, k), "hits"))  # at most 20 rows
+        cited = [c for c in ("chunk_id", "adsh", "cik", "company", "form", "filed", "section", "chunk_index", "score", "text") if c in hits.columns]
+        head = F.concat_ws(" ", *(F.col(c).cast("string") for c in ("company", "form", "filed") if c in cited), F.concat(F.lit("Item "), "section"))
         return hits.groupBy().agg(
             F.substring(F.min_by("text", "rank"), 1, 800).alias("answer"),
-            F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "adsh", "section", "score"))).alias("citations"),
+            F.min_by(head, "rank").alias("source"),
+            F.lit("extractive").alias("answer_mode"),
+            F.lit(self.index.promoted()).alias("index_version"),
+            F.array_sort(F.collect_list(F.struct("rank", *cited))).alias("citations"),
         )
 
 

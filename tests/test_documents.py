@@ -164,3 +164,49 @@ def test_questions_come_from_the_stated_set(spark):
     c = spark.createDataFrame([(i, "several sensible questions follow") for i in ids], "chunk_id string, text string")
     got = {r.query_id for r in reference._questions(c, 2).collect()}
     assert got == {i for i in ids if int(i[:15], 16) % 100 == 0} and len(got) == 10
+
+
+def test_known_items_are_stored_and_drawn_anew_when_stale(spark, tmp_path):
+    chunks = spark.createDataFrame([(f"c{i}", "a", 1, "7", i, f"word{i} " * 150) for i in range(6)], "chunk_id string, adsh string, cik int, section string, chunk_index int, text string")
+    docs = spark.createDataFrame([("a", "10-K", "A", datetime.date(2024, 2, 1))], "adsh string, form string, company string, filed date")
+    ix = index.Index(spark, str(tmp_path / "ix"), chunks, docs, index.HashingEmbedder())
+    first = {r.id for r in ix.known_item_set(n=3).collect()}
+    assert len(first) == 3 and {r.id for r in ix.known_item_set(n=5).collect()} == first  # stored
+    ix.chunks = chunks.where(F.col("chunk_id") != sorted(first)[0])
+    again = {r.id for r in ix.known_item_set(n=3).collect()}
+    assert len(again) == 3 and sorted(first)[0] not in again
+    ix.chunks = chunks
+    version = ix.build("dense", ciks=[1])
+    with pytest.raises(ValueError):
+        ix.build("dense", ciks=[2])
+    m = ix.evaluate(version, ix.known_item_set(), timed=2)
+    assert m["known_item_recall_at_5"] == 1.0 and 0 < m["latency_p50_ms"] <= m["latency_p95_ms"]
+    quality = spark.createDataFrame([("2024q1", 3)], "quarter string, n_facts int")
+    engine = pit.Engine(None, None, None, quality, ix, ix.ledger())
+    assert [(r.quarter, r.status, r.n_chunks, r.promoted_index) for r in engine.health().collect()] == [("2024q1", "degraded", 6, None)]
+    ix.decide(version, m)
+    assert engine.health().first().status == "ok" and engine.index_history().first().promoted
+    assert pit.Engine(None, None, None, quality.limit(0), ix).health().first().status == "degraded"
+    answer = engine.ask("word3 word3", k=2).first()
+    assert answer.answer.startswith("word3") and answer.source == "A 10-K 2024-02-01 Item 7" and answer.citations[0].company == "A" and answer.index_version == version
+    with pytest.raises(pit.NotFound):
+        engine.ask("word3", cik=99)
+
+
+def test_questions_within_their_company(spark):
+    x = [[1.0, 0.0], [0.9, 0.1], [0.0, 1.0], [float("nan"), 1.0]]
+    v = spark.createDataFrame([(i, i % 2, e) for i, e in enumerate(x)], "id int, cik int, embedding array<float>")
+    q = spark.createDataFrame([("a", 0, [1.0, 0.0]), ("b", 1, [1.0, 0.0]), ("c", 7, [1.0, 0.0]), ("d", None, [1.0, 0.0])], "query_id string, cik int, embedding array<float>")
+    got = {(r.query_id, r.rank): r.id for r in retrieval.dense_topk_within(v, q, "cik", 1, 2).collect()}
+    assert got == {("a", 1): 0, ("b", 1): 1}
+
+
+def test_percentiles_of_any_doubles(spark):
+    import random
+
+    rng = random.Random(3)
+    xs = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randrange(-300, 300) for _ in range(400)] + [0.0, -0.0, float("inf"), float("-inf"), 5e-324] * 3
+    df = spark.createDataFrame([(x,) for x in xs] + [(float("nan"),), (None,)], "x double")
+    want = [sorted(xs)[min(int(len(xs) * q), len(xs) - 1)] for q in (0.0, 0.31, 0.5, 0.95, 1.0)]
+    assert list(retrieval.index_percentiles(df, "x", {f"p{i}": q for i, q in enumerate((0.0, 0.31, 0.5, 0.95, 1.0))}).first()) == want
+    assert retrieval.index_percentiles(df.selectExpr("cast(7 as int) as x"), "x", {"p": 0.5}).first().p == 7

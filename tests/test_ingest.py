@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronofact.functions import scalar
-from chronofact.operators import checks, pit
+from chronofact.operators import checks, index, pit
 from chronofact.schema import ContractError, FACTS, SUBMISSIONS, conform, normalize_for_publish, schema_differences
 from chronofact.sources import documents
 from chronofact.sources.archive import parse_archive
 from chronofact.sources.ingest import Lakehouse, NotPublished, Pipeline, download
-from chronofact.sources.store import ObjectStore
+from chronofact.sources.store import ObjectStore, PartitionedTable, SwapTable
 from tests.conftest import NUM, SUB, write_archive
 
 NOW = datetime.datetime(2025, 4, 1)
@@ -166,3 +166,74 @@ def test_documents_are_replaced_one_by_one(spark, tmp_path):
     reports = documents.Reports(str(tmp_path / "reports"))
     reports.write({"index_version": "v", "promoted": True})
     assert reports.read("v")["promoted"]
+
+
+def test_document_run(spark, tmp_path, archive):
+    subs, _ = parse_archive(spark, archive, "2025q1", "abc", NOW)
+    pages = {"reed-20210630.htm": "<html><body><p>Item 1. Business</p><p>" + "We mill reeds. " * 300 + "</p></body></html>"}
+    asked, waits = [], []
+
+    def fetch(url, path):
+        asked.append(url)
+        with open(path, "w") as f:
+            f.write(pages.get(url.rsplit("/", 1)[-1], "<p>" + "Older mill report. " * 20 + "</p>"))
+
+    ledger = SwapTable(spark, str(tmp_path / "ledger"), "run_at timestamp, stage string, units string, quantity double, usd double, detail string")
+    config = tmp_path / "companies.json"
+    config.write_text('{"companies": [{"cik": 7731, "name": "Hollow Reed"}, {"cik": 5}], "forms": ["10-K", "10-K/A"]}')
+    companies, forms = documents.read_companies(str(config))
+    run = documents.DocumentRun(spark, str(tmp_path / "docs"), ObjectStore(str(tmp_path / "bronze")), fetch, str(tmp_path / "landing"), "https://x.example", ledger, sleep=waits.append, batch=2)
+    first = run.run(subs, companies, forms, 10)
+    assert (first["seen"], first["fetched"], first["skipped"]) == (3, 3, 0) and first["chunks"] == run.chunks.read().count() > 3 and waits == [0.15] * 3
+    assert asked[0] == "https://x.example/7731/008821000417/reed-20200630.htm"
+    assert {(r.form, r.company) for r in run.documents.read().collect()} == {("10-K", "HOLLOW REED MILLING"), ("10-K/A", "HOLLOW REED MILLING"), ("10-K", "HOLLOW REED GROUP")}
+    assert run.run(subs, companies, forms, 10) == {"seen": 3, "fetched": 0, "skipped": 3, "chunks": 0, "bytes": 0}
+    pages["reed-20210630.htm"] = "<p>" + "Reeds are scarce now. " * 10 + "</p>"
+    again = run.run(subs, companies, forms, 10)
+    assert (again["fetched"], again["skipped"]) == (1, 2) and run.documents.read().count() == 3
+    assert [r.section for r in run.chunks.read().where("adsh = '0088-22-000381'").collect()] == ["full"]
+    assert ledger.read().count() == 3 and len(list((tmp_path / "ledger").glob("v*"))) == 1  # appends add files
+    (tmp_path / "bad.json").write_text('{"companies": [{"name": "x"}]}')
+    with pytest.raises(ValueError):
+        documents.read_companies(str(tmp_path / "bad.json"))
+
+
+def test_stores_through_spark_file_systems(spark, tmp_path):
+    store = ObjectStore(f"file://{tmp_path}/bronze", spark)
+    f = tmp_path / "f"
+    f.write_text("one")
+    assert store.manifest("a/x.zip") is None and list(store.manifests()) == []
+    assert not store.put_file(str(f), "a/x.zip", source_url="u")["skipped"] and store.put_file(str(f), "a/x.zip")["skipped"]
+    assert [m["key"] for m in store.manifests("a/")] == ["a/x.zip"] and (tmp_path / "bronze/a/x.zip").read_text() == "one"
+    parse_archive(spark, "file://" + write_archive(tmp_path / "z.zip"), "2025q1", "s", NOW)
+    table = PartitionedTable(spark, str(tmp_path / "facts"), FACTS)
+    table.ensure("default.ensured_facts")
+    table.ensure("default.ensured_facts")
+    assert spark.table("default.ensured_facts").count() == 0 and not schema_differences(table.read(), FACTS)
+    spark.sql("drop table default.ensured_facts")
+
+
+def test_malformed_lines_are_counted_and_views_served(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path / "lake"), ObjectStore(str(tmp_path / "bronze")))
+    lake.bronze.put_file(write_archive(tmp_path / "a.zip", num=[*NUM, ["broken"], ["too", "short"]]), "2025q1.zip")
+    out = lake.load_quarter("2025q1")
+    assert (out["n_facts"], out["n_malformed"], out["malformed"]["num.txt"]) == (8, 2, 2)
+    lake.build_gold()
+    names = lake.serve("served")
+    assert spark.table("served.fact_versions").count() == 8 and len(names) == 4
+    spark.sql("drop database served cascade")
+
+
+def test_whole_pipeline(spark, tmp_path, archive):
+    lake = Lakehouse(spark, str(tmp_path / "lake"), ObjectStore(str(tmp_path / "bronze")))
+    chunks = spark.createDataFrame([(f"c{i}", "a", 1, "7", i, f"word{i} " * 150) for i in range(3)], "chunk_id string, adsh string, cik int, section string, chunk_index int, text string")
+    ix = index.Index(spark, str(tmp_path / "ix"), chunks, spark.createDataFrame([("a", "10-K")], "adsh string, form string"), index.HashingEmbedder())
+    out = Pipeline(lake, lambda q: archive, documents=lambda: {"seen": 0}, index=ix).run(["2025q1"])
+    assert out["documents"] == {"seen": 0} and out["evaluation"]["promoted"] and ix.promoted() is not None
+    with pytest.raises(checks.CheckFailed):
+        checks.require_promoted(None)
+
+
+def test_answer_cost(spark):
+    df = spark.createDataFrame([("a", 1_000_000, 100_000), ("b", 1_000_000, 100_000), (None, 0, 0)], "model string, asked int, answered int")
+    assert [r[0] for r in df.select(scalar.answer_cost(F.col("model"), F.col("asked"), F.col("answered"), {"a": (1.0, 5.0)})).collect()] == [1.5, 4.5, 0.0]
