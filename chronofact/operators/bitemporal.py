@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from chronofact.operators.runs import starts, whole_keys
+from chronofact.session import cut
 
 #: Open end of both times, as days since 1970-01-01 (9999-12-31).
 FOREVER = 2932896
@@ -34,6 +35,9 @@ LEDGER = T.StructType(
 )
 
 
+#: The filings' acceptance is broadcast to their reports up to so many filings (counted first). Beyond, it is joined by a
+#: shuffle, but only with the reports of keys for which the order within a day matters. Either way reports are shuffled once.
+FILINGS_BROADCAST = 250_000
 #: Keys are counted by this many hash buckets; a bucket is hot from HOT_ROWS rows and HOT_TIMES the mean on.
 BUCKETS, HOT_ROWS, HOT_TIMES = 1 << 18, 500_000, 16
 
@@ -239,16 +243,17 @@ def mark_shared_days(rows: DataFrame, key: str, day: str, one: str) -> DataFrame
     return rows.withColumn("__again", again).withColumn("__shared", F.max("__again").over(Window.partitionBy(key))).drop("__again")
 
 
-def fact_ledger(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fact_ledger(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS, filings_broadcast: int | None = None) -> DataFrame:
     """Ledger of the reported facts: valid time is the filing date, recorded time the day the load arrived.
 
     Null values and reports without key, filing, date or loading time say nothing. Within a day the filing accepted last
     speaks (nulls last of all, then the larger adsh).
 
-    Keys of ordinary buckets are shuffled once, by key, and all steps follow in place. When a filing was accepted matters
-    only for keys for which several filings speak on one day: only their statements are joined with the submissions (the
-    shuffle by key is shared by both branches). Keys of hot buckets are first combined by filing and by day, each with its
-    own shuffle, so that a key with a third of all rows arrives at the sweep with no more rows than the calendar allows.
+    Keys of ordinary buckets are shuffled once, by key, and all steps follow in place. When a filing was accepted is
+    broadcast up to filings_broadcast (FILINGS_BROADCAST) filings, a counted size; beyond, only the statements of keys for which
+    several filings speak on one day are joined with the submissions (both branches share the shuffle by key). Keys of hot
+    buckets are first combined by filing and by day, each with its own shuffle, so that a key with a third of all rows
+    arrives at the sweep with no more rows than the calendar allows.
     """
     rows = (
         facts.select(F.col("fact_key").alias("key"), F.col("adsh").alias("filing"), F.col("knowledge_date").alias("valid"), (F.col("value") + F.lit(0.0)).alias("value"), F.unix_date(F.to_date("loaded_at")).alias("rec"))
@@ -258,12 +263,30 @@ def fact_ledger(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_RO
     order = [F.col("accepted").isNull(), "accepted", "filing"]
     hot = hot_buckets(rows.select("key"), hot_rows)
     bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS))
-    said = mark_shared_days(filing_statements((rows.where(~bucket.isin(hot)) if hot else rows).repartition("key")), "key", "valid", "filing")
-    alone = said.where(~F.col("__shared")).select("key", F.unix_date("valid").alias("valid"), "r_from", "r_to", "value", F.lit(0).alias("rank"))
-    out = bitemporal_ledger(alone, placed=True)
-    shared = said.where("__shared").drop("__shared").join(accepted, "filing", "left").repartition("key")
-    out = out.unionByName(bitemporal_ledger(day_statements(shared, order), placed=True))
+    said = filing_statements((rows.where(~bucket.isin(hot)) if hot else rows).repartition("key"))
+    small = accepted.count() <= (FILINGS_BROADCAST if filings_broadcast is None else filings_broadcast)
+    if small:
+        out = bitemporal_ledger(day_statements(said.join(F.broadcast(accepted), "filing", "left"), order), placed=True)
+    else:
+        said = mark_shared_days(said, "key", "valid", "filing")
+        alone = said.where(~F.col("__shared")).select("key", F.unix_date("valid").alias("valid"), "r_from", "r_to", "value", F.lit(0).alias("rank"))
+        shared = said.where("__shared").drop("__shared").join(accepted, "filing", "left").repartition("key")
+        out = bitemporal_ledger(alone, placed=True).unionByName(bitemporal_ledger(day_statements(shared, order), placed=True))
     if hot:
-        large = filing_statements(rows.where(bucket.isin(hot))).join(accepted, "filing", "left")
+        large = filing_statements(rows.where(bucket.isin(hot))).join(F.broadcast(accepted) if small else accepted, "filing", "left")
         out = out.unionByName(bitemporal_ledger(day_statements(large, order)))
     return out.withColumnRenamed("key", "fact_key")
+
+
+def extend_ledger(ledger: DataFrame, before: DataFrame, new: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The ledger after a load: that of all reports, at the cost of the keys the load speaks of.
+
+    ledger: of `before`, the reports so far; new: the load's reports (facts). Rows of other keys stay as they are; of keys
+    in the load the reports so far are read again, so that late, repeated and contradicting statements close the rows they
+    cut. The keys are written once; Spark broadcasts them where they are few. When a filing was accepted is taken from
+    submissions: if that changed for filings known before, their reports have to be in `new` again (repeated rows count
+    once). A load without keys changes nothing.
+    """
+    touched = cut(new.where("fact_key is not null").select("fact_key").distinct(), "touched")
+    again = before.join(touched, "fact_key", "left_semi").select(*before.columns).unionByName(new.select(*before.columns))
+    return ledger.join(touched, "fact_key", "left_anti").select(*ledger.columns).unionByName(fact_ledger(again, submissions, hot_rows).select(*ledger.columns))

@@ -55,7 +55,7 @@ def _table(w: str, table: dict[str, str]) -> str:
 
 @lru_cache(maxsize=200_000)
 def stem(word: str) -> str:
-    """Porter's stemmer."""
+    """Porter's stemmer of 1980."""
     w = word
     if len(w) <= 2 or not w.isascii() or not w.isalpha():
         return w
@@ -102,14 +102,95 @@ def _short(w: str) -> bool:
     return _consonants(w)[-3:] == "cvc" and w[-1] not in "wxy"
 
 
-def terms(text: str | None, english: bool = True) -> list[tuple[str, int]]:
-    """(term, position from 1) of a text; stop words keep their place but give no term."""
+# Letters, suffixes and exceptions of the English stemmer (Porter2), in the order in which they are tried.
+_VOWELS, _DOUBLES, _LI = "aeiouy", ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt"), "cdeghkmnrt"
+_PREFIXES = ("gener", "commun", "arsen")
+_EXCEPTIONS = dict(skis="ski", skies="sky", dying="die", lying="lie", tying="tie", idly="idl", gently="gentl", ugly="ugli", early="earli", only="onli", singly="singl") | {w: w for w in ("sky", "news", "howe", "atlas", "cosmos", "bias", "andes")}
+_AFTER_PLURAL = frozenset(("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"))
+_SECOND = dict(tional="tion", enci="ence", anci="ance", abli="able", entli="ent", izer="ize", ization="ize", ational="ate", ation="ate", ator="ate", alism="al", aliti="al", alli="al", fulness="ful", ousli="ous", ousness="ous", iveness="ive", iviti="ive", biliti="ble", bli="ble", ogi="og", fulli="ful", lessli="less", li="")
+_THIRD = dict(tional="tion", ational="ate", alize="al", icate="ic", iciti="ic", ical="ic", ful="", ness="", ative="")
+_FOURTH = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize", "ion")
+
+
+def _region(w: str, start: int) -> int:
+    """Where the region after the first other letter that follows a vowel begins, from `start` on."""
+    m = re.compile(f"[{_VOWELS}][^{_VOWELS}]").search(w, start)
+    return m.end() if m else len(w)
+
+
+def _ends_short(w: str) -> bool:
+    """Whether w ends in a short syllable."""
+    return bool(re.search(f"(?:[^{_VOWELS}][{_VOWELS}][^{_VOWELS}wxY]|^[{_VOWELS}][^{_VOWELS}])$", w))
+
+
+def _longest(w: str, suffixes) -> str | None:
+    return max((x for x in suffixes if w.endswith(x)), key=len, default=None)
+
+
+@lru_cache(maxsize=200_000)
+def english_stem(word: str) -> str:
+    """The English stemmer that full-text search of databases uses (Porter2); other scripts and numbers stay as they are."""
+    if len(word) <= 2 or not re.fullmatch(r"[a-z']+", word):
+        return word
+    if word in _EXCEPTIONS:
+        return _EXCEPTIONS[word]
+    w = re.sub(f"(?<=[{_VOWELS}])y|^y", "Y", word.lstrip("'"))
+    head = next((p for p in _PREFIXES if w.startswith(p)), None)
+    r1 = len(head) if head else _region(w, 0)
+    r2 = _region(w, r1)
+    w = re.sub(r"'s?'?$", "", w)
+    # plurals
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith(("ied", "ies")):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif w.endswith("s") and not w.endswith(("us", "ss")) and re.search(f"[{_VOWELS}].", w[:-1]):
+        w = w[:-1]
+    if w in _AFTER_PLURAL:
+        return w
+    # past and progressive forms
+    suffix = _longest(w, ("eed", "eedly", "ed", "edly", "ing", "ingly"))
+    if suffix and suffix.startswith("ee"):
+        if len(w) - len(suffix) >= r1:
+            w = w[: -len(suffix)] + "ee"
+    elif suffix and re.search(f"[{_VOWELS}]", w[: -len(suffix)]):
+        w = w[: -len(suffix)]
+        if w.endswith(("at", "bl", "iz")):
+            w += "e"
+        elif w.endswith(_DOUBLES):
+            w = w[:-1]
+        elif r1 >= len(w) and _ends_short(w):
+            w += "e"
+    if len(w) > 2 and w[-1] in "yY" and w[-2] not in _VOWELS:
+        w = w[:-1] + "i"
+    # derivations, the longest suffix of each round
+    suffix = _longest(w, _SECOND)
+    if suffix and len(w) - len(suffix) >= r1:
+        root = w[: -len(suffix)]
+        if (suffix != "ogi" or root.endswith("l")) and (suffix != "li" or root[-1:] in tuple(_LI)):
+            w = root + _SECOND[suffix]
+    suffix = _longest(w, _THIRD)
+    if suffix and len(w) - len(suffix) >= (r2 if suffix == "ative" else r1):
+        w = w[: -len(suffix)] + _THIRD[suffix]
+    suffix = _longest(w, _FOURTH)
+    if suffix and len(w) - len(suffix) >= r2 and (suffix != "ion" or w[:-3].endswith(("s", "t"))):
+        w = w[: -len(suffix)]
+    # final e and double l
+    at = len(w) - 1
+    if w.endswith("e") and (at >= r2 or (at >= r1 and not _ends_short(w[:-1]))) or (w.endswith("ll") and at >= r2):
+        w = w[:-1]
+    return w.lower()
+
+
+def terms(text: str | None, english: bool = True, stemmer=english_stem) -> list[tuple[str, int]]:
+    """(term, position from 1) of a text; stop words keep their place but give no term. stemmer: english_stem, or the older
+    `stem`."""
     out = []
     for i, w in enumerate(_WORD.findall((text or "").lower()), 1):
         if not english:
             out.append((w, i))
         elif w not in STOP_WORDS:
-            out.append((stem(w), i))
+            out.append((stemmer(w), i))
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from chronofact.functions.scalar import percent, ratio
 from chronofact.operators.versions import ambiguous_pairs
+from chronofact.session import cut
 
 # Headline metrics and the concepts that report them.
 FLOWS = {
@@ -78,7 +79,7 @@ def company_quarter(versions: DataFrame, submissions: DataFrame, flows: dict[str
     Flow metrics take fiscal years for fp FY, else quarters; instants take points in time; of several concepts the
     greatest value counts. Ratios are null unless the denominator is positive. (The build time is left to the writer.)
     """
-    latest = headline_versions(versions)
+    latest = cut(headline_versions(versions), "headlines")  # read twice below
     labelled = periods(latest, period_labels(submissions))
     rows = labelled.join(latest.withColumnRenamed("ddate", "period_end"), ["cik", "period_end"])
     flow_span = F.col("qtrs") == F.when(F.col("fp") == "FY", 4).otherwise(1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chronofact.functions.scalar import OPEN_END
+from chronofact.operators import bitemporal
 from chronofact.operators.bitemporal import BUCKETS, HOT_ROWS, hot_buckets, mark_shared_days
 from chronofact.session import cut
 
@@ -70,36 +71,45 @@ def number_by_day(rows: DataFrame, key: str, day: str, order: list[Column]) -> D
 
 def _of_listed_filings(rows: DataFrame, filings: DataFrame) -> DataFrame:
     """Reports of filings that a submission lists. The unlisted filings, rarely any, are found among the distinct ones."""
-    unlisted = cut(rows.select("adsh").distinct().join(filings, "adsh", "left_anti"), "unlisted")
+    unlisted = rows.select("adsh").distinct().join(filings, "adsh", "left_anti")
     n = unlisted.count()
     if not n:
         return rows
+    unlisted = cut(unlisted, "unlisted")
     return rows.join(F.broadcast(unlisted) if n <= UNLISTED_BROADCAST else unlisted, "adsh", "left_anti")
 
 
-def fact_versions(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fact_versions(facts: DataFrame, submissions: DataFrame, hot_rows: int = HOT_ROWS, filings_broadcast: int | None = None) -> DataFrame:
     """All versions of all facts with their windows [valid_from, valid_to).
 
     Reports of filings without a submission are dropped; a submission listed twice counts once. Versions of a day are
     ordered by acceptance (nulls last), then adsh: the earlier of the day gets an empty window. Contradicting
     (filing, key) pairs are left out. Empty tables give no rows.
 
-    Reports are shuffled once, by fact_key; choosing, numbering and windows follow in place. Only keys with several filings
-    on one day are joined with the submissions for their order (both branches share the shuffle). Hot keys are combined
-    by (filing, key) before they are shuffled, and numbered day by day.
+    Reports are shuffled once, by fact_key; choosing, numbering and windows follow in place. The submissions are broadcast up to
+    filings_broadcast (bitemporal.FILINGS_BROADCAST) filings, a counted size; beyond, only keys with several filings on one day
+    are joined with them for their order (both branches share the shuffle). Hot keys are combined by (filing, key) before
+    they are shuffled, and numbered day by day.
     """
     filings = submissions.where("adsh is not null").groupBy("adsh").agg(F.max("accepted").alias("accepted"))
-    rows = _of_listed_filings(facts.select("adsh", "fact_key", *CARRIED).where("adsh is not null and fact_key is not null"), filings)
+    small = filings.count() <= (bitemporal.FILINGS_BROADCAST if filings_broadcast is None else filings_broadcast)
+    rows = facts.select("adsh", "fact_key", *CARRIED).where("adsh is not null and fact_key is not null")
     hot = hot_buckets(rows.select(F.col("fact_key").alias("key")), hot_rows)
     bucket = F.pmod(F.xxhash64("fact_key"), F.lit(BUCKETS))
     at = ("fact_key", "knowledge_date")
-    clean = mark_shared_days(clean_in_place((rows.where(~bucket.isin(hot)) if hot else rows).repartition("fact_key")), *at, "adsh")
-    numbered = number_in_place(clean.where(~F.col("__shared")), *at, []).drop("__shared")
     by_acceptance = [F.col("accepted").asc_nulls_last(), F.col("adsh")]
-    shared = clean.where("__shared").drop("__shared").join(filings, "adsh").repartition("fact_key")
-    numbered = numbered.unionByName(number_in_place(shared, *at, by_acceptance).drop("accepted"))
+    plain = rows.where(~bucket.isin(hot)) if hot else rows
+    if small:
+        listed = plain.join(F.broadcast(filings), "adsh").repartition("fact_key")
+        numbered = number_in_place(clean_in_place(listed), *at, by_acceptance).drop("accepted")
+    else:
+        clean = mark_shared_days(clean_in_place(_of_listed_filings(plain, filings).repartition("fact_key")), *at, "adsh")
+        numbered = number_in_place(clean.where(~F.col("__shared")), *at, []).drop("__shared")
+        shared = clean.where("__shared").drop("__shared").join(filings, "adsh").repartition("fact_key")
+        numbered = numbered.unionByName(number_in_place(shared, *at, by_acceptance).drop("accepted"))
     if hot:
-        numbered = numbered.unionByName(number_by_day(clean_reports(rows.where(bucket.isin(hot))).join(filings, "adsh"), *at, by_acceptance).drop("accepted"))
+        large = clean_reports(rows.where(bucket.isin(hot))).join(F.broadcast(filings) if small else filings, "adsh")
+        numbered = numbered.unionByName(number_by_day(large, *at, by_acceptance).drop("accepted"))
     return numbered.select(
         "fact_key", "cik", "tag", "ddate", "qtrs", "uom", "coreg", "segments", "is_dimensional", "value", "footnote", "adsh", "form", "fy", "fp",
         F.col("version").alias("taxonomy_version"),

@@ -47,6 +47,15 @@ def p3_ledger(spark: SparkSession, d: str) -> DataFrame:
     return bitemporal.fact_ledger(table(spark, d, "facts"), table(spark, d, "submissions"))
 
 
+def p3_extended(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger of all loads but the last, extended by the last: it must be that of all."""
+    facts, subs = table(spark, d, "facts"), table(spark, d, "submissions")
+    last = facts.agg(F.max_by("source_sha256", "loaded_at")).first()[0]
+    is_last = F.col("source_sha256").eqNullSafe(F.lit(last))
+    before = facts.where(~is_last)
+    return bitemporal.extend_ledger(bitemporal.fact_ledger(before, subs), before, facts.where(is_last), subs)
+
+
 def p3_history(spark: SparkSession, d: str) -> DataFrame:
     """The history believed now: each fact's successive values."""
     return p3_ledger(spark, d).where(f"recorded_to = {OPEN}").select("fact_key", "version_no", "value", "valid_from", "valid_to")
@@ -86,7 +95,7 @@ def p5_delimiters(spark: SparkSession, d: str) -> DataFrame:
     return segments.delimiter_scores(v)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_profile, p1_counts, p1_values, p1_loads, p1_load_metrics, p3_found, p3_history, p3_ledger, p4_found, p4_values, p5_found, p5_segments, p5_delimiters)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_profile, p1_counts, p1_values, p1_loads, p1_load_metrics, p3_found, p3_history, p3_ledger, p3_extended, p4_found, p4_values, p5_found, p5_segments, p5_delimiters)}
 
 _REPORTS = """
 with said as (select fact_key, adsh, min(knowledge_date) as kd, min(value) as v from facts where value is not null group by 1, 2 having count(distinct value) = 1),
@@ -143,3 +152,4 @@ union all select 'data_quality', 'pct_filings_with_facts', cast(build_id as varc
     "p4_found": _AS_KNOWN + "select comparison_id, version_no from c join v on v.fact_key = c.base_fact_key and v.f <= c.knowledge_date and v.t > c.knowledge_date",
     "p4_values": _AS_KNOWN + "select comparison_id, base_fact_key, knowledge_date, version_no, f as valid_from, value from c left join v on v.fact_key = c.base_fact_key and v.f <= c.knowledge_date and v.t > c.knowledge_date",
 }
+SQL["p3_extended"] = SQL["p3_ledger"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chronofact import schema
 from chronofact.functions import scalar
 from chronofact.operators import checks, index, lexical, marts, pit, retrieval, text, versions
 from chronofact.sources import documents
@@ -34,6 +35,50 @@ def fact_history(spark: SparkSession, d: str) -> DataFrame:
     return fact_versions(spark, d).where("tag = 'Revenues' and coreg is null").select("fact_key", "cik", "ddate", "qtrs", "version_no", "n_versions", "value", "valid_from", "valid_to", "is_latest")
 
 
+def history_read(spark: SparkSession, d: str) -> DataFrame:
+    """/facts/history (E5): the versions of the first company's newest annual net income that was reported twice or more."""
+    v = fact_versions(spark, d)
+    some = v.where("tag = 'NetIncomeLoss' and coreg is null and not is_dimensional and qtrs = 4 and n_versions > 1").agg(F.min(F.struct("cik", F.datediff(F.lit("9999-12-31"), "ddate").alias("age"), "ddate")).alias("x")).select("x.*").first()
+    return pit.history(v, some["cik"] if some["cik"] is not None else -1, "NetIncomeLoss", some["ddate"] or KNOWN_ON, 4)
+
+
+def company_read(spark: SparkSession, d: str) -> DataFrame:
+    """/companies (L3, E6): a company's periods, newest first."""
+    return pit.company(company_quarter(spark, d), 884411).unionByName(pit.company(company_quarter(spark, d), 1000020)).select("cik", "fy", "fp", "period_end", "revenue", "net_income", "total_assets", "leverage_ratio")
+
+
+def index_history(spark: SparkSession, d: str) -> DataFrame:
+    """/index (L10, E2): the newest index versions, ties by name."""
+    return table(spark, d, "index_versions").orderBy(F.desc("created_at"), "index_version").limit(20).select("index_version", "model", "dims", "n_chunks", "status")
+
+
+def typed_text(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of submissions written as the archives write them, and read back."""
+    s = table(spark, d, "submissions")
+    text = s.select("adsh", F.format_string("%d", "cik").alias("cik"), F.date_format("filed", "yyyyMMdd").alias("filed"), F.concat(F.date_format("accepted", "yyyy-MM-dd HH:mm:ss"), F.lit(".0")).alias("accepted"), F.when(F.col("prevrpt"), "1").otherwise("0").alias("prevrpt"), F.coalesce("stprba", F.lit("NULL")).alias("stprba"))
+    return text.select("adsh", scalar.to_int(F.col("cik")).alias("cik"), scalar.to_day(F.col("filed")).alias("filed"), scalar.to_moment(F.col("accepted")).alias("accepted"), scalar.flag(F.col("prevrpt")).alias("prevrpt"), scalar.null_tokens(F.col("stprba")).alias("stprba")).distinct()
+
+
+def required_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Q8, Q9: columns of the loaded tables that must be filled, and how many rows lack them."""
+    out = None
+    for name, declared in (("facts", schema.FACTS), ("submissions", schema.SUBMISSIONS)):
+        t = schema.conform(table(spark, d, name), declared, check=False)
+        required = [f.name for f in declared if not f.nullable]
+        counts = t.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in required)).unpivot([], required, "column_name", "n_null").select(F.lit(name).alias("table_name"), "column_name", "n_null")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def vector_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Embedded chunks with their documents' form, for some companies and forms."""
+    e = table(spark, d, "chunk_embeddings").where("embedding is not null").select("index_version", "chunk_id").distinct()
+    c = table(spark, d, "chunks").where("chunk_id is not null").groupBy("chunk_id").agg(F.min("adsh").alias("adsh"), F.min("cik").alias("cik"))
+    docs = table(spark, d, "documents").where("adsh is not null").select("adsh", "form").distinct()
+    found = e.join(c, "chunk_id").join(docs, "adsh").where(F.array_contains(F.array(F.lit("10-K"), F.lit("10-Q")), F.col("form")))
+    return found.groupBy("index_version", "cik", "form").agg(F.count(F.lit(1)).alias("n_vectors"))
+
+
 def facts_read(spark: SparkSession, d: str) -> DataFrame:
     """/facts: consolidated facts of a company as known on a day, newest period first; the company is the first that had
     reported the concept by then."""
@@ -307,5 +352,5 @@ def stale_eval_items(spark: SparkSession, d: str) -> DataFrame:
     return index.stale_items(items, build).groupBy("index_version").agg(F.count(F.lit(1)).alias("n_stale"))
 
 
-_Q = (fact_versions, facts_as_of, fact_history, facts_read, restatements, restatements_top, days_between, company_quarter, company_latest, first_reported, period_labels, data_quality, ambiguous_facts, null_rate, check_not_null, check_unique, check_unique_combo, check_accepted, check_range, check_single_latest, check_windows_tile, orphan_facts, optional_filter, top_filings, quarter_calendar, fact_key, cost_by_stage, dense_topk, dense_topk_filtered, rrf_fusion, known_item_metrics, index_percentile, promotion_gate, lexical_and_match, lexical_topk, hybrid_topk, html_to_text, split_sections, chunk_documents, chunk_ids, word_window, incremental_reuse, rechunk_diff, stale_eval_items)
+_Q = (fact_versions, facts_as_of, fact_history, history_read, company_read, index_history, typed_text, required_nulls, vector_filter, facts_read, restatements, restatements_top, days_between, company_quarter, company_latest, first_reported, period_labels, data_quality, ambiguous_facts, null_rate, check_not_null, check_unique, check_unique_combo, check_accepted, check_range, check_single_latest, check_windows_tile, orphan_facts, optional_filter, top_filings, quarter_calendar, fact_key, cost_by_stage, dense_topk, dense_topk_filtered, rrf_fusion, known_item_metrics, index_percentile, promotion_gate, lexical_and_match, lexical_topk, hybrid_topk, html_to_text, split_sections, chunk_documents, chunk_ids, word_window, incremental_reuse, rechunk_diff, stale_eval_items)
 QUERIES = {f.__name__: f for f in _Q}

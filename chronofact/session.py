@@ -65,13 +65,30 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_work(spark: SparkSession) -> int:
+    """Remove the tables that `cut` has written so far, on whatever file system they are; frames read from them are dead
+    afterwards. Long-lived drivers call this between jobs. Number of tables removed."""
+    n = 0
+    while _WRITTEN:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
+
+
 def _clear(pid: int) -> None:
-    """When the driver ends, remove the tables it wrote to a mounted shared folder (object stores: by their own expiry)."""
-    if os.getpid() == pid:
-        for path in _WRITTEN:
-            local = path.removeprefix("file://")
-            if local.startswith("/"):
-                shutil.rmtree(local, ignore_errors=True)
+    """When the driver ends, remove what is left: through the session while it lives, else on mounted folders."""
+    if os.getpid() != pid:
+        return
+    try:
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            clear_work(spark)
+    except Exception:  # noqa: BLE001  the JVM has gone first
+        pass
+    for path in _WRITTEN:
+        local = path.removeprefix("file://")
+        if local.startswith("/"):
+            shutil.rmtree(local, ignore_errors=True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -60,6 +60,15 @@ def test_stems():
         assert lexical.stem(word) == want, word
 
 
+def test_english_stems():
+    # examples published with the algorithm
+    pairs = "consign consign consigned consign consigning consign consignment consign consist consist consisted consist consistency consist consistent consist consistently consist consolation consol consolations consol consolatory consolatori console consol consoled consol consoles consol consoling consol consolingly consol knack knack knackeries knackeri knacks knack knaves knave knavish knavish kneaded knead kneading knead knee knee kneel kneel knees knee knelt knelt knew knew knick knick knife knife knightly knight knights knight knit knit knives knive knocking knock knoll knoll knot knot knots knot knowing know knowingly know knowledge knowledg known known gas gas gaps gap kiwis kiwi ties tie cries cri dying die skies sky news news inning inning succeed succeed hopping hop hoping hope luxuriated luxuri cry cri by by say say generate generat communism communism happily happili bank's bank".split()
+    for word, want in zip(pairs[::2], pairs[1::2], strict=True):
+        assert lexical.english_stem(word) == want, word
+    assert lexical.english_stem("été") == "été" and lexical.english_stem("10k") == "10k" and lexical.english_stem("''") == "''"
+    assert lexical.terms("The banks' prices", stemmer=lexical.stem) == [("bank", 2), ("price", 3)]
+
+
 def test_query_grammar_and_density():
     q = lexical.parse_query('term "loan risks" -bank or prices')
     assert [x["need"] for x in q] == [["loan", "risk", "term"], ["price"]] and q[0]["without"] == ["bank"] and q[0]["phrases"] == [[["loan", 0], ["risk", 1]]]

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chronofact.operators import asof, bitemporal, profile, segments
+from chronofact.session import clear_work, cut
 from tests.test_versions import frames, fact, sub
 
 D = datetime.date
@@ -61,6 +62,21 @@ def test_ledger_late_load_and_withdrawal(spark):
     assert bitemporal.fact_ledger(f.withColumn("key", F.lit("clash")).withColumn("valid", F.lit(1)), s).count() == led.count()
 
 
+def test_a_load_extends_the_ledger(spark):
+    rng = random.Random(8)
+    rows = [fact(f"f{rng.randrange(30)}", f"k{rng.randrange(12)}", rng.choice([None, 1.0, 2.0, 3.0]), D(2024, 1, 1 + rng.randrange(9)), loaded_at=T0 + datetime.timedelta(days=rng.randrange(6))) for _ in range(250)] + [fact("f1", None, 1.0, D(2024, 1, 1))]
+    f, s = frames(spark, rows, [sub(f"f{i}", T0 + datetime.timedelta(minutes=i % 5)) for i in range(30)])
+    day = F.to_date("loaded_at")
+    ledger, seen = bitemporal.fact_ledger(f.limit(0), s), f.limit(0)
+    for n in range(6):
+        load = f.where(day == F.lit(T0.date() + datetime.timedelta(days=n)))
+        ledger = cut(bitemporal.extend_ledger(ledger, seen, load, s))
+        seen = seen.unionByName(load)
+    whole = bitemporal.fact_ledger(f, s)
+    assert whole.count() > 30 and whole.exceptAll(ledger).count() == 0 and ledger.count() == whole.count()
+    assert bitemporal.extend_ledger(ledger, f, f.limit(0), s).exceptAll(whole).count() == 0
+
+
 def test_hot_keys_give_the_same_ledger(spark, monkeypatch):
     rng = random.Random(3)
     rows = [fact(f"f{rng.randrange(40)}", rng.choice(["hot", "hot", "k1", "k2"]), float(rng.randrange(3)), D(2024, 1, 1 + rng.randrange(9)), loaded_at=T0 + datetime.timedelta(days=rng.randrange(5))) for _ in range(300)]
@@ -304,3 +320,11 @@ def test_every_column_of_every_load_is_compared(spark):
     assert got["tag"].is_distinct and got["tag"].is_shape and got["tag"].expression_shift == 1
     assert not any(got[c][f] for c in ("value", "fy") for f in ("is_null_rate", "is_distinct", "is_shape", "is_scale", "is_sign"))
     assert np.isclose(got["value"].median_now, 30.5) and got["value"].coverage_now == 1 and got["tag"].median_now is None
+
+
+def test_work_tables_are_removed(spark):
+    import os
+
+    df = cut(spark.range(5))
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and clear_work(spark) >= 1 and not os.path.exists(path)

@@ -66,6 +66,22 @@ def test_hot_keys_are_numbered_alike(spark, monkeypatch):
         versions.hot_buckets = orig
 
 
+def test_many_filings_are_joined_alike(spark):
+    """Beyond the limit of the broadcast: the same versions, and reports are shuffled as often."""
+    f, s = frames(spark, CASES, SUBS)
+    a, b = versions.fact_versions(f, s), versions.fact_versions(f, s, filings_broadcast=0)
+    assert a.count() == b.count() == 5 and a.exceptAll(b).count() == 0
+    rows = [fact(f"f{i % 40:02d}", f"k{i % 23}", float(i % 4), D(2024, 1, 1 + i % 40 % 6)) for i in range(300)]
+    f, s = frames(spark, rows, [sub(f"f{i:02d}", T0 + datetime.timedelta(minutes=-i % 7) if i % 5 else None) for i in range(38)])
+    a, b = versions.fact_versions(f, s), versions.fact_versions(f, s, filings_broadcast=0)
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count() > 50
+    x, y = bitemporal.fact_ledger(f, s), bitemporal.fact_ledger(f, s, filings_broadcast=0)
+    assert x.exceptAll(y).count() == 0 and x.count() == y.count() > 20
+    wide = [str(d._jdf.queryExecution().executedPlan()) for d in (versions.fact_versions(f, s), versions.fact_versions(f, s, filings_broadcast=0))]
+    by_key = [sum("Exchange hashpartitioning(fact_key" in line and "Reused" not in line for line in p.splitlines()) for p in wide]
+    assert by_key[0] == 1 and by_key[1] <= 3  # both branches, of which the second reuses the first's, and the shared days
+
+
 def test_empty_tables_and_extra_columns(spark):
     f, s = frames(spark, [], [])
     v = versions.fact_versions(f, s)
