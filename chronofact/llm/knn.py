@@ -352,11 +352,12 @@ def fit_versions(usable: DataFrame, counts: dict[str, int], k: int) -> dict[str,
 _ASK = "index_version string, block int, part int, rep bigint, members array<bigint>, home boolean, role int, embedding array<float>"
 
 
-def _assign(blocks: dict[str, Blocks]):
-    """Rows for the blocks: each vector in the blocks it is listed in, and as an asker in every other block it visits; in
+def _assign(fitted):
+    """fitted: a broadcast of Blocks by version. Rows for the blocks: each vector in the blocks it is listed in, and as an asker in every other block it visits; in
     blocks of several parts, listed in one part of the lists for all parts of askers, and asking in all parts of the lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = fitted.value
         for b in batches:
             t = pa.Table.from_batches([b])
             for v in t.column("index_version").unique().to_pylist():
@@ -512,7 +513,7 @@ def similar_vectors(vectors: DataFrame, versions: DataFrame, k: int = K, probes:
     blocks = fit_versions(usable, counts, k)
     one = usable.groupBy("index_version", F.col("vec_id").alias("rep")).agg(F.min_by("embedding", F.struct(x(1), x(2))).alias("embedding"))
     reps = one.join(classes.select("index_version", "rep", "members"), ["index_version", "rep"]).select("index_version", "rep", "members", "embedding")
-    asked = reps.mapInArrow(_assign(blocks), _ASK)
+    asked = reps.mapInArrow(_assign(spark.sparkContext.broadcast(blocks)), _ASK)
     found = asked.groupBy("index_version", "block", "part").applyInArrow(_search_group(k, probes), _FOUND)
     pairs = F.arrays_zip(F.transform("cosines", lambda c: -F.round(c, 12)).alias("far"), F.col("ids").alias("id"))
     key = ["index_version", "rep"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -92,7 +94,7 @@ def test_many_blocks(monkeypatch, capsys):
     assert len(blocks.centroids) >= 50 and (blocks.askers > 1).any()
     blocks.lists[::9] = 2  # as if these blocks listed more than a task may hold
     batch = pa.record_batch({"index_version": pa.array(["v"] * len(x)), "rep": pa.array(np.arange(len(x))), "members": pa.array([[i] for i in range(len(x))], pa.list_(pa.int64())), "embedding": pa.array(x.tolist(), pa.list_(pa.float32()))})
-    rows = pa.Table.from_batches(list(knn._assign({"v": blocks})(iter([batch]))))
+    rows = pa.Table.from_batches(list(knn._assign(SimpleNamespace(value={"v": blocks}))(iter([batch]))))
     listed = rows.filter(pc.and_(pc.equal(rows["role"], 3), rows["home"])).column("rep").to_pylist()
     assert sorted(listed) == list(range(len(x)))  # each vector asks once in the part of its home in which it is listed
     near: dict[int, list] = {i: [] for i in range(len(x))}
