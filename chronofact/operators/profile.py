@@ -342,7 +342,7 @@ class Induction:
         units = self.values.select("column_name", "value", "n", "s", "collapsed")
         if self.signs:
             parted = field_values(self.values, self.signs).groupBy(F.col("unit").alias("column_name"), F.col("field").alias("value")).agg(F.sum("n").alias("n"))
-            units = cut(units.unionByName(shaped(parted)), "units")
+            units = units.unionByName(cut(shaped(parted), "fields"))
         tree, described = shape_tree(units)
         sizes = tree.where("level is not null").select("column_name", "level", "key").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("size"))
         told = {r["column_name"]: (r["bits"], r["distinct"], r["size"] or 0, (r["lowers_of"], r["uppers_of"])) for r in described.join(sizes, "column_name", "left").collect()}  # a row a unit
@@ -606,12 +606,6 @@ def compare_loads(profiles: DataFrame, follows: DataFrame) -> DataFrame:
     )
 
 
-def expression_coverage(counted: DataFrame, expression: str) -> DataFrame:
-    """Per load the share of non-null values that conform to the expression (load, coverage)."""
-    ok = F.col("value").cast("string").rlike(f"(?s)^(?:{expression})\\z")
-    return counted.where("value is not null").groupBy("load").agg((F.sum(F.when(ok, F.col("n")).otherwise(0)) / F.sum("n")).alias("coverage"))
-
-
 def expression_shift(counted: DataFrame, follows: DataFrame, expression: str) -> DataFrame:
     """How much the values' shapes moved between a load and the one before (load, previous, expression_shift): half the sum
     of the differences of the alternatives' shares, 0 for alike and 1 for nothing in common. Values under no alternative

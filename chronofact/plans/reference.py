@@ -202,9 +202,11 @@ def fact_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cost_by_stage(spark: SparkSession, d: str) -> DataFrame:
-    """A10: what embedding each index version would have cost, by model and in all."""
-    v = table(spark, d, "index_versions")
-    ledger = v.select(F.col("created_at").alias("run_at"), F.col("model").alias("stage"), F.col("n_embedded_new").cast("double").alias("quantity"), scalar.hosted_cost(F.col("n_embedded_new") * 1500.0).alias("usd"))
+    """A10: what embedding the chunks of each index version anew would cost, by model and in all."""
+    v = table(spark, d, "index_versions").groupBy("index_version").agg(F.max("model").alias("model"), F.max("created_at").alias("created_at"))
+    held = table(spark, d, "chunk_embeddings").select("index_version", "chunk_id").distinct().join(_chunks(spark, d).select("chunk_id", F.length("text").alias("chars")), "chunk_id")
+    per = held.groupBy("index_version").agg(F.count(F.lit(1)).cast("double").alias("quantity"), F.sum("chars").alias("chars")).join(v, "index_version")
+    ledger = per.select(F.col("created_at").alias("run_at"), F.col("model").alias("stage"), "quantity", scalar.hosted_cost(F.col("chars")).alias("usd"))
     return pit.cost_by_stage(ledger).drop("last_run")
 
 
@@ -340,9 +342,9 @@ def incremental_reuse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rechunk_diff(spark: SparkSession, d: str) -> DataFrame:
-    """Filings whose chunks differ if they are cut anew with a smaller limit."""
-    docs = table(spark, d, "documents").where("adsh is not null and text is not null").groupBy("adsh").agg(F.min_by("text", "doc_id").alias("text"))
-    return text.changed_documents(text.chunk_documents(docs), text.chunk_documents(docs, limit=1000))
+    """Documents whose chunks differ if they are cut anew with a smaller limit."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("adsh"), "text")
+    return text.changed_documents(text.chunk_documents(docs), text.chunk_documents(docs, limit=1000)).withColumnRenamed("adsh", "doc_id")
 
 
 def stale_eval_items(spark: SparkSession, d: str) -> DataFrame:
