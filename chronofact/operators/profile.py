@@ -695,7 +695,7 @@ def column_loads(df: DataFrame, load: str) -> DataFrame:
     """load (struct of column_name and load), value (text, null kept), x (numbers only), n: one aggregation per column."""
     out = None
     for c, kind in df.dtypes:
-        if kind.startswith(("array", "map", "struct")):
+        if c == load or kind.startswith(("array", "map", "struct")):
             continue
         v = F.col("v")
         counted = df.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("l"), F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
@@ -710,7 +710,11 @@ def load_report(facts: DataFrame, manifest: DataFrame, load: str = "source_sha25
     of numbers; dates, times and flags have one form, which covers all. Of a column described by fields, the shift is that
     of the field that moved most."""
     kinds = dict(facts.dtypes)
-    counted = column_loads(facts, load)
+    # a number stands for the load in all that is shuffled below; a row a load
+    codes = cut(facts.where(F.col(load).isNotNull()).select(F.col(load).alias("__load")).distinct().withColumn("__code", F.row_number().over(Window.orderBy("__load"))), "codes")
+    small = codes.count() <= LOADS_BROADCAST
+    coded = facts.join(F.broadcast(codes) if small else codes, F.col(load) == F.col("__load")).drop("__load")
+    counted = column_loads(coded, "__code")
     name = F.col("load.column_name")
     formed = name.isin([c for c, k in kinds.items() if k in FORMS])
     texts = counted.where(F.col("value").isNotNull() & ~formed)
@@ -734,7 +738,10 @@ def load_report(facts: DataFrame, manifest: DataFrame, load: str = "source_sha25
     columns = facts.sparkSession.createDataFrame([(c,) for c, k in kinds.items() if not k.startswith(("array", "map", "struct"))], "column_name string")
     names = [c for c in kinds if c not in induced.signs] + [f"{c}{_UNIT}{k}" for c, (_, n) in induced.signs.items() for k in range(n + 1)]
     all_units = facts.sparkSession.createDataFrame([(u, u.split(_UNIT)[0]) for u in names], "unit string, column_name string")
+    known = lambda x: codes.select(F.col("__load").alias(x), F.col("__code").alias(f"{x}_code"))
+    # loads without rows aren't compared
     pairs = manifest.select(F.col("source_sha256").alias("l"), F.col("previous_sha256").alias("p")).where("l is not null and p is not null").distinct()
+    pairs = cut(pairs.join(known("l"), "l").join(known("p"), "p").select(F.col("l_code").alias("l"), F.col("p_code").alias("p")), "pairs")
     of = lambda x: F.struct("column_name", F.col(x).alias("load"))
     follows = cut(pairs.crossJoin(F.broadcast(columns)).select(of("l").alias("load"), of("p").alias("previous")), "follows")  # a row a column
     of_unit = lambda x: F.struct("unit", of(x).alias("load"))
@@ -747,4 +754,5 @@ def load_report(facts: DataFrame, manifest: DataFrame, load: str = "source_sha25
         .join(shift, ["load", "previous"], "left")
         .withColumn("is_shape", F.coalesce(F.col("expression_shift") >= SHAPE_LIMIT, F.lit(False)))
     )
-    return report.withColumn("column_name", name).withColumn("load", F.col("load.load")).withColumn("previous", F.col("previous.load"))
+    report = report.withColumn("column_name", name).withColumn("l_code", F.col("load.load")).withColumn("p_code", F.col("previous.load"))
+    return report.join(known("l"), "l_code").join(known("p"), "p_code").withColumn("load", F.col("l")).withColumn("previous", F.col("p")).drop("l", "p", "l_code", "p_code")
